@@ -17,23 +17,22 @@ AMOUNT_PATTERN = r"(?:[$£€]\s*)?(\d{1,3}(?:,\d{3})*(?:\.\d{2})|\d+(?:\.\d{2})
 EXCERPT_LENGTH = 900
 
 
-def lower_trim(name: str) -> Column:
-    return F.lower(F.trim(F.col(name)))
-
-
-def upper_trim(name: str) -> Column:
-    return F.upper(F.trim(F.col(name)))
-
-
-def is_blank(text: Column) -> Column:
-    """True for null, empty and spaces-only text; never null."""
-    return F.coalesce(F.length(F.trim(text)) == 0, F.lit(True))
-
-
-def lookup(mapping: Mapping[str, object], key: Column) -> Column:
-    """Value of ``key`` in a small fixed mapping, null when absent. Folds to one literal map in the plan."""
-    pairs = [F.lit(item) for entry in mapping.items() for item in entry]
-    return F.try_element_at(F.create_map(*pairs), key)
+def sql_literal(value: object) -> str:
+    """A string, number, boolean or tuple of them as SQL text."""
+    if isinstance(value, tuple):
+        return "(" + ", ".join(map(sql_literal, value)) + ")"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def lookup(mapping: Mapping[str, object], key: str) -> Column:
+    """Value in a small fixed mapping for the SQL expression ``key``, null when absent.
+
+    The mapping folds to one literal in the plan.
+    """
+    pairs = ", ".join(sql_literal(item) for entry in mapping.items() for item in entry)
+    return F.expr(f"try_element_at(map({pairs}), {key})")
 
 
 def truthy(value: Column, dtype: DataType) -> Column:

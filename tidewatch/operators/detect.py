@@ -2,97 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import lookup
+from tidewatch.functions.text import lookup, sql_literal
 from tidewatch.rules import SEVERITIES, STANDARD_RULES, THREAT_CATALOGUE, DetectionRules
 
-_SUCCEEDED = ("outcome", "success")
-
-
-def _is(column: str, value: str) -> Column:
-    return F.col(column) == F.lit(value)
-
-
-def _known_true(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(False))
-
-
-def _brute_force(rules: DetectionRules) -> Column:
-    many_attempts = F.col("failed_attempts_1h") >= rules.failed_attempts_threshold
-    return _is("event_type", "authentication") & _is("outcome", "failure") & many_attempts
-
-
-def _privilege_escalation(rules: DetectionRules) -> Column:
-    return _is("event_type", "privilege_change") & _is(*_SUCCEEDED) & ~_known_true("is_privileged_actor")
-
-
-def _data_egress(rules: DetectionRules) -> Column:
-    return _is("event_type", "data_access") & (F.col("bytes_out") >= rules.data_egress_bytes_threshold)
-
-
-def _api_abuse(rules: DetectionRules) -> Column:
-    return _is("event_type", "api_call") & (F.col("request_rate_1m") >= rules.api_request_rate_threshold)
-
-
-def _unusual_geo(rules: DetectionRules) -> Column:
-    return F.col("source_country").isin(*rules.high_risk_countries) & _is(*_SUCCEEDED)
-
-
-def _logging_disabled(rules: DetectionRules) -> Column:
-    return _is("event_type", "config_change") & _is("action", "logging_disabled")
-
-
-def _privileged_success() -> Column:
-    return _known_true("is_privileged_actor") & _is(*_SUCCEEDED)
-
-
-def _without_mfa(rules: DetectionRules) -> Column:
-    return _privileged_success() & ~_known_true("mfa_used")
-
-
-def _off_hours(rules: DetectionRules) -> Column:
-    working_hours = F.col("event_hour").between(rules.off_hours_end, rules.off_hours_start - 1)
-    return _privileged_success() & ~working_hours
-
-
-PREDICATES: dict[str, Callable[[DetectionRules], Column]] = {
-    "credential_brute_force": _brute_force,
-    "unauthorized_privilege_escalation": _privilege_escalation,
-    "large_data_egress": _data_egress,
-    "api_abuse_burst": _api_abuse,
-    "unusual_geo_access": _unusual_geo,
-    "audit_logging_disabled": _logging_disabled,
-    "privileged_access_without_mfa": _without_mfa,
-    "off_hours_privileged_activity": _off_hours,
-}
-
 
 def threat_reason(rules: DetectionRules = STANDARD_RULES) -> Column:
-    """Reason of the first enabled rule, in catalogue order, that matches; null if none does."""
-    hits = [
-        F.when(PREDICATES[entry.reason](rules), F.lit(entry.reason))
+    """Reason of the first enabled rule, in catalogue order, that matches; null if none does.
+
+    A condition that cannot be decided because of a null does not match.
+    """
+    parameters = {name: sql_literal(value) for name, value in vars(rules).items()}
+    cases = [
+        f"WHEN {entry.condition.format(**parameters)} THEN {sql_literal(entry.reason)}"
         for entry in THREAT_CATALOGUE
         if entry.reason in rules.enabled
     ]
-    return F.coalesce(*hits, F.lit(None).cast("string"))
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def flag_threats(events: DataFrame, rules: DetectionRules = STANDARD_RULES) -> DataFrame:
     """Add threat_reason, is_anomaly, severity, severity_rank and mitre_tactic to normalised events."""
-    reason = F.col("threat_reason")
     severities = {entry.reason: entry.severity for entry in THREAT_CATALOGUE}
     ranks = {entry.reason: entry.rank for entry in THREAT_CATALOGUE}
     tactics = {entry.reason: entry.mitre_tactic for entry in THREAT_CATALOGUE}
     return events.withColumn("threat_reason", threat_reason(rules)).withColumns(
         {
-            "is_anomaly": reason.isNotNull(),
-            "severity": F.coalesce(lookup(severities, reason), F.lit(SEVERITIES[0])),
-            "severity_rank": F.coalesce(lookup(ranks, reason), F.lit(0)),
-            "mitre_tactic": lookup(tactics, reason),
+            "is_anomaly": F.expr("threat_reason IS NOT NULL"),
+            "severity": F.coalesce(lookup(severities, "threat_reason"), F.lit(SEVERITIES[0])),
+            "severity_rank": F.coalesce(lookup(ranks, "threat_reason"), F.lit(0)),
+            "mitre_tactic": lookup(tactics, "threat_reason"),
         }
     )
 

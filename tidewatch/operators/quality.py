@@ -8,38 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import rules as R
-from tidewatch.functions.text import is_blank, lower_trim, upper_trim
+from tidewatch.functions.text import sql_literal
 from tidewatch.rules import LENIENT_GATE, STANDARD_GATE, QualityRules
 
 VALID, INVALID = "valid", "invalid"
 
+# The free-text columns and the case each is folded to.
+LOWER_CASED = ("actor_email", "event_type", "outcome", "target_system")
+UPPER_CASED = ("source_country",)
+
 
 @dataclass(frozen=True)
 class Check:
-    """One gate check: the flag column it fills, the reason it reports, and when it passes."""
+    """One gate check: the flag column it fills, the reason it reports, and the SQL condition to pass."""
 
     flag: str
     reason: str
-    passes: Column
+    passes: str
 
 
 def normalise(events: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Parse the event time, stamp ingestion and fold the free-text columns to one spelling.
 
     ``ingested_at`` is evaluated after the event time is known; without it the processing time is used.
+    Unparseable times become null (the plain cast throws under ANSI).
     """
-    folded = events.withColumns(
-        {
-            # Unparseable times become null (the plain cast throws under ANSI).
-            "event_timestamp": F.try_to_timestamp("event_time"),
-            "actor_email": lower_trim("actor_email"),
-            "event_type": lower_trim("event_type"),
-            "outcome": lower_trim("outcome"),
-            "target_system": lower_trim("target_system"),
-            "source_country": upper_trim("source_country"),
-        }
-    )
-    return folded.withColumns(
+    folded = {name: F.expr(f"lower(trim({name}))") for name in LOWER_CASED}
+    folded |= {name: F.expr(f"upper(trim({name}))") for name in UPPER_CASED}
+    return events.withColumns({"event_timestamp": F.try_to_timestamp("event_time"), **folded}).withColumns(
         {
             "ingestion_timestamp": F.current_timestamp() if ingested_at is None else ingested_at,
             "event_hour": F.hour("event_timestamp"),
@@ -53,40 +49,42 @@ def gate_checks(rules: QualityRules = STANDARD_GATE) -> list[Check]:
     A comparison with a null input stays null: the event is then invalid but carries no reason for that
     check unless ``rules.strict_reasons`` is set. Actor and target checks treat null as missing.
     """
-    status, bytes_out, target = F.col("http_status"), F.col("bytes_out"), F.col("target_system")
-    bytes_ok = bytes_out >= 0
+    in_range = "bytes_out >= 0"
     if rules.max_bytes_out is not None:
-        bytes_ok = bytes_out.between(0, rules.max_bytes_out)
-    target_ok = target.isNotNull() if rules.allow_blank_target else ~is_blank(target)
-    status_ok = F.lit(True)
-    if rules.check_http_status:
-        status_ok = status.isNull() | status.between(*rules.http_status_range)
+        in_range = f"bytes_out BETWEEN 0 AND {rules.max_bytes_out}"
+    low, high = rules.http_status_range
     checks = [
-        Check("is_valid_event_type", R.UNKNOWN_EVENT_TYPE, F.col("event_type").isin(*rules.event_types)),
-        Check("is_valid_outcome", R.UNKNOWN_OUTCOME, F.col("outcome").isin(*rules.outcomes)),
-        Check("is_valid_actor", R.MISSING_ACTOR, ~is_blank(F.col("actor_id"))),
-        Check("is_valid_target", R.MISSING_TARGET, target_ok),
-        Check("is_valid_bytes", R.BYTES_OUT_OF_RANGE, bytes_ok),
-        Check("is_valid_status", R.INVALID_HTTP_STATUS, status_ok),
+        Check("is_valid_event_type", R.UNKNOWN_EVENT_TYPE, f"event_type IN {sql_literal(rules.event_types)}"),
+        Check("is_valid_outcome", R.UNKNOWN_OUTCOME, f"outcome IN {sql_literal(rules.outcomes)}"),
+        Check("is_valid_actor", R.MISSING_ACTOR, "coalesce(trim(actor_id), '') <> ''"),
+        Check(
+            "is_valid_target",
+            R.MISSING_TARGET,
+            "target_system IS NOT NULL" if rules.allow_blank_target else "coalesce(target_system, '') <> ''",
+        ),
+        Check("is_valid_bytes", R.BYTES_OUT_OF_RANGE, in_range),
+        Check(
+            "is_valid_status",
+            R.INVALID_HTTP_STATUS,
+            f"http_status IS NULL OR http_status BETWEEN {low} AND {high}" if rules.check_http_status else "true",
+        ),
     ]
     if rules.strict_reasons:
-        checks = [Check(c.flag, c.reason, F.coalesce(c.passes, F.lit(False))) for c in checks]
+        checks = [Check(c.flag, c.reason, f"coalesce({c.passes}, false)") for c in checks]
     return checks
 
 
 def apply_gate(events: DataFrame, rules: QualityRules = STANDARD_GATE) -> DataFrame:
     """Add the flag columns, ``quality_status`` and ``quality_failure_reason`` to normalised events."""
     checks = gate_checks(rules)
-    has_time = F.col("event_timestamp").isNotNull()
-    all_pass = has_time
-    for check in checks:
-        all_pass = all_pass & F.col(check.flag)
-    reasons = [F.when(~F.col(c.flag), F.lit(c.reason)) for c in checks]
-    reasons.append(F.when(~has_time, F.lit(R.UNPARSEABLE_EVENT_TIME)))
-    return events.withColumns({c.flag: c.passes for c in checks}).withColumns(
+    all_pass = " AND ".join(["event_timestamp IS NOT NULL", *(check.flag for check in checks)])
+    failures = {f"NOT {check.flag}": check.reason for check in checks}
+    failures["event_timestamp IS NULL"] = R.UNPARSEABLE_EVENT_TIME
+    reasons = ", ".join(f"CASE WHEN {failed} THEN '{reason}' END" for failed, reason in failures.items())
+    return events.withColumns({check.flag: F.expr(check.passes) for check in checks}).withColumns(
         {
-            "quality_status": F.when(all_pass, F.lit(VALID)).otherwise(F.lit(INVALID)),
-            "quality_failure_reason": F.concat_ws(",", *reasons),
+            "quality_status": F.expr(f"CASE WHEN {all_pass} THEN '{VALID}' ELSE '{INVALID}' END"),
+            "quality_failure_reason": F.expr(f"concat_ws(',', {reasons})"),
         }
     )
 

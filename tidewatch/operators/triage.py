@@ -45,7 +45,7 @@ EXPLANATION = (
 
 def risk_score() -> Column:
     """0..100 from the severity, the kind and size of the threat, and whether it succeeded."""
-    score = F.coalesce(lookup(BASE_SCORE, F.upper("severity")), F.lit(DEFAULT_BASE_SCORE))
+    score = F.coalesce(lookup(BASE_SCORE, "upper(severity)"), F.lit(DEFAULT_BASE_SCORE))
     reason = F.lower("threat_reason")
     for texts, points, counter, threshold, more_points in REASON_POINTS:
         mentioned = F.lit(False)
@@ -55,7 +55,7 @@ def risk_score() -> Column:
         if counter:
             worth = F.when(F.col(counter) >= threshold, F.lit(more_points)).otherwise(worth)
         score = score + F.when(mentioned, worth).otherwise(F.lit(0))
-    return clamp(score + F.coalesce(lookup(OUTCOME_POINTS, F.lower("outcome")), F.lit(0)), 0, 100)
+    return clamp(score + F.coalesce(lookup(OUTCOME_POINTS, "lower(outcome)"), F.lit(0)), 0, 100)
 
 
 def risk_level(score: Column) -> Column:
@@ -98,8 +98,8 @@ def build_insights(threats: DataFrame, as_of: AsOf = None) -> DataFrame:
             "insight_id": digest_key(F.col("event_id"), F.col("threat_reason")),
             "generated_at": report_time(as_of),
             "threat_explanation": explanation(level),
-            "recommended_action": F.coalesce(lookup(actions, F.col("threat_reason")), F.lit(DEFAULT_ACTION)),
-            "triage_queue": lookup(QUEUES, level),
+            "recommended_action": F.coalesce(lookup(actions, "threat_reason"), F.lit(DEFAULT_ACTION)),
+            "triage_queue": lookup(QUEUES, "risk_level"),
             "model_provider": F.lit(PROVIDER),
         }
     )

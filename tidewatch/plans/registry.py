@@ -15,7 +15,7 @@ from tidewatch.operators.lateness import mark_late
 from tidewatch.operators.metrics import current_metrics, security_metrics
 from tidewatch.rules import NOTEBOOK_RULES, STRICT_GATE, catalogue_frame
 from tidewatch.schemas import FACT_SCHEMA, conform
-from tidewatch.session import scratch_dir
+from tidewatch.session import scratch_dir, tune
 from tidewatch.sources import activity as feed
 from tidewatch.sources.curated import FACT, METRICS, QUARANTINE, CuratedStore
 from tidewatch.sources.evidence_files import load_evidence
@@ -37,8 +37,7 @@ def query(build: Query) -> Query:
     """Register a query under its function name, in UTC and with zone-free timestamps in its result."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        result = build(spark, sf_dir)
+        result = build(tune(spark), sf_dir)
         zoned = [f.name for f in result.schema.fields if isinstance(f.dataType, TimestampType)]
         return result.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 

@@ -30,67 +30,79 @@ UNPARSEABLE_EVENT_TIME = "unparseable_event_time"
 
 @dataclass(frozen=True)
 class ThreatRule:
-    """One catalogue entry; the predicate itself is in :mod:`tidewatch.operators.detect`."""
+    """One catalogue entry. ``condition`` is SQL over the event columns; ``{names}`` are detection parameters."""
 
     reason: str
     severity: str
     mitre_tactic: str
     action: str
+    condition: str
 
     @property
     def rank(self) -> int:
         return SEVERITIES.index(self.severity)
 
 
-# The threat catalogue in precedence order (reason, severity, ATT&CK code, recommended action).
+_PRIVILEGED_SUCCESS = "is_privileged_actor AND outcome = 'success'"
+
+# The threat catalogue in precedence order (reason, severity, ATT&CK code, recommended action) and
+# the condition of each rule.
 THREAT_CATALOGUE = (
     ThreatRule(
         "credential_brute_force",
         "HIGH",
         "TA0006:T1110",
         "Lock or step-up authentication for the identity, block the source IP, and confirm whether any attempt succeeded.",
+        "event_type = 'authentication' AND outcome = 'failure' AND failed_attempts_1h >= {failed_attempts_threshold}",
     ),
     ThreatRule(
         "unauthorized_privilege_escalation",
         "CRITICAL",
         "TA0004:T1078",
         "Revoke the granted role immediately, verify the change against an approved ticket, and review the approver's account.",
+        "event_type = 'privilege_change' AND outcome = 'success' AND NOT coalesce(is_privileged_actor, false)",
     ),
     ThreatRule(
         "large_data_egress",
         "CRITICAL",
         "TA0010:T1041",
         "Suspend the export session, quantify what left the environment, and engage data protection review.",
+        "event_type = 'data_access' AND bytes_out >= {data_egress_bytes_threshold}",
     ),
     ThreatRule(
         "api_abuse_burst",
         "MEDIUM",
         "TA0040:T1499",
         "Apply rate limiting to the client credential and verify whether the traffic is a misconfigured integration or scripted abuse.",
+        "event_type = 'api_call' AND request_rate_1m >= {api_request_rate_threshold}",
     ),
     ThreatRule(
         "unusual_geo_access",
         "HIGH",
         "TA0001:T1078.004",
         "Challenge the session with MFA, confirm travel with the user, and review other activity from the same source.",
+        "source_country IN {high_risk_countries} AND outcome = 'success'",
     ),
     ThreatRule(
         "audit_logging_disabled",
         "CRITICAL",
         "TA0005:T1562.008",
         "Re-enable logging, treat the gap window as untrusted, and investigate the account that changed the policy.",
+        "event_type = 'config_change' AND action = 'logging_disabled'",
     ),
     ThreatRule(
         "privileged_access_without_mfa",
         "MEDIUM",
         "TA0001:T1078",
         "Enforce MFA on the privileged account and review what actions were taken during the session.",
+        f"{_PRIVILEGED_SUCCESS} AND NOT coalesce(mfa_used, false)",
     ),
     ThreatRule(
         "off_hours_privileged_activity",
         "LOW",
         "TA0003:T1078",
         "Confirm the activity with the account owner and check it against the change calendar.",
+        _PRIVILEGED_SUCCESS + " AND (event_hour < {off_hours_end} OR event_hour >= {off_hours_start})",
     ),
 )
 DEFAULT_ACTION = "Review the event against baseline behaviour for this identity and target system."

@@ -7,9 +7,10 @@ defects and threat patterns over the table so that every quality reason and ever
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.text import sql_literal
 from tidewatch.schemas import EVENT_SCHEMA
 
 # Fixed values of the derivation.
@@ -37,60 +38,53 @@ def read_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _every(n: int, remainder: int = 0) -> Column:
-    return F.col("event_id") % n == remainder
-
-
-def _pick(values: tuple[str, ...], key: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), (key % len(values) + 1).cast("int"))
-
-
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+# Where a defect is planted, the first branch; otherwise the regular value.
+_OUTCOME = """
+    CASE WHEN event_id % 109 = 0 THEN 'weird' WHEN event_type = 'error' THEN 'failure'
+         WHEN event_id % 10 = 0 THEN 'blocked' WHEN event_id % 10 = 1 THEN 'failure' ELSE 'success' END"""
+_DERIVED = {
+    "event_id": "concat('EVT-', event_id)",
+    "event_time": """CASE WHEN event_id % 97 = 0 THEN 'not-a-time'
+        ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'") END""",
+    "event_type": """CASE WHEN event_id % 103 = 0 THEN 'syslog_blob'
+        WHEN event_id % 107 <> 0 THEN try_element_at({event_types}, event_type) END""",
+    "action": "CASE WHEN event_type = 'purchase' AND {k} % 5 = 0 THEN 'logging_disabled' ELSE event_type END",
+    "actor_id": "CASE WHEN event_id % 79 = 0 THEN '' ELSE concat('USR-', user_id) END",
+    "actor_email": "concat(' User', user_id, '@Example.COM ')",
+    "actor_role": "CASE WHEN user_id % 7 = 0 THEN 'domain_admin' ELSE 'analyst' END",
+    "is_privileged_actor": "CASE WHEN user_id % 11 <> 0 THEN user_id % 7 = 0 END",
+    "session_id": "concat('SES-', event_id div 10)",
+    "source_ip": "concat('10.0.', user_id % 256, '.', {k})",
+    "source_country": "array{countries}[CAST(user_id % {n_countries} AS INT)]",
+    "target_system": "CASE WHEN event_id % 101 <> 0 THEN array{targets}[CAST(user_id % {n_targets} AS INT)] END",
+    "target_resource": "concat('res', {k} % 6)",
+    "mfa_used": "CASE WHEN event_id % 13 <> 0 THEN event_id % 3 <> 0 END",
+    "outcome": _OUTCOME,
+    "http_status": f"""CASE WHEN event_id % 89 = 0 THEN 999
+        WHEN event_id % 17 <> 0 THEN CASE WHEN {_OUTCOME} = 'success' THEN 200 ELSE 403 END END""",
+    "bytes_out": """CASE WHEN event_id % 83 = 0 THEN -1
+        WHEN event_id % 113 <> 0 THEN floor(value * CASE WHEN event_type = 'view' THEN 5e6 ELSE 100D END) END""",
+    "failed_attempts_1h": "CASE WHEN event_type = 'error' THEN {k} % 40 ELSE 0 END",
+    "request_rate_1m": "CASE WHEN event_type = 'click' THEN {k} * 15 ELSE {k} % 40 END",
+    "is_test_event": "false",
+    **{name: f"'{value}'" for name, value in CONSTANTS.items()},
+}
 
 
 def security_events(activity: DataFrame, *keep: str) -> DataFrame:
     """The 26 event columns for every activity row, and the named activity columns."""
-    user, kind = F.col("user_id"), F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
-    mapped_type = F.lit(None).cast("string")
-    for source, target in EVENT_TYPE_OF.items():
-        mapped_type = F.when(kind == source, F.lit(target)).otherwise(mapped_type)
-    outcome = (
-        F.when(_every(109), "weird")
-        .when(kind == "error", "failure")
-        .when(_every(10), "blocked")
-        .when(_every(10, 1), "failure")
-        .otherwise("success")
-    )
-    columns = {
-        "event_id": _text("EVT-", F.col("event_id")),
-        "event_time": F.when(_every(97), "not-a-time").otherwise(
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-        ),
-        "event_type": F.when(_every(103), "syslog_blob").when(~_every(107), mapped_type),
-        "action": F.when((kind == "purchase") & (k % 5 == 0), "logging_disabled").otherwise(kind),
-        "actor_id": F.when(_every(79), "").otherwise(_text("USR-", user)),
-        "actor_email": _text(" User", user, "@Example.COM "),
-        "actor_role": F.when(user % 7 == 0, "domain_admin").otherwise("analyst"),
-        "is_privileged_actor": F.when(user % 11 != 0, user % 7 == 0),
-        "session_id": _text("SES-", F.expr("event_id div 10")),
-        "source_ip": _text("10.0.", user % 256, ".", k),
-        "source_country": _pick(COUNTRIES, user),
-        "target_system": F.when(~_every(101), _pick(TARGETS, user)),
-        "target_resource": _text("res", k % 6),
-        "mfa_used": F.when(~_every(13), ~_every(3)),
-        "outcome": outcome,
-        "http_status": F.when(_every(89), 999).when(~_every(17), F.when(outcome == "success", 200).otherwise(403)),
-        "bytes_out": F.when(_every(83), F.lit(-1)).when(
-            ~_every(113), F.floor(F.col("value") * F.when(kind == "view", 5e6).otherwise(100.0))
-        ),
-        "failed_attempts_1h": F.when(kind == "error", k % 40).otherwise(0),
-        "request_rate_1m": F.when(kind == "click", k * 15).otherwise(k % 40),
-        "is_test_event": F.lit(False),
-        **{name: F.lit(value) for name, value in CONSTANTS.items()},
+    parts = {
+        "k": "CAST(get_json_object(props, '$.k') AS INT)",
+        "event_types": "map" + sql_literal(tuple(item for pair in EVENT_TYPE_OF.items() for item in pair)),
+        "countries": sql_literal(COUNTRIES),
+        "n_countries": len(COUNTRIES),
+        "targets": sql_literal(TARGETS),
+        "n_targets": len(TARGETS),
     }
-    return activity.select(*(columns[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields), *keep)
+    return activity.selectExpr(
+        *(f"CAST({_DERIVED[f.name].format(**parts)} AS {f.dataType.simpleString()}) AS {f.name}" for f in EVENT_SCHEMA.fields),
+        *keep,
+    )
 
 
 def replayed_activity(activity: DataFrame) -> DataFrame:
@@ -98,22 +92,18 @@ def replayed_activity(activity: DataFrame) -> DataFrame:
 
     Every row arrives; some arrive again unchanged, some again with a time 30 seconds later.
     """
-    deliveries = F.array(
-        F.lit(0),
-        F.when(_every(20), F.lit(0)),
-        F.when(_every(50), F.lit(30)),
-    )
-    return (
-        activity.withColumn("_shift", F.explode(F.filter(deliveries, lambda shift: shift.isNotNull())))
-        .withColumn("ts", F.expr("ts + make_dt_interval(0, 0, 0, _shift)"))
-        .drop("_shift")
+    return activity.selectExpr(
+        "* EXCEPT (ts)",
+        """explode(filter(
+            array(ts, CASE WHEN event_id % 20 = 0 THEN ts END, CASE WHEN event_id % 50 = 0 THEN ts + INTERVAL 30 SECOND END),
+            delivered -> delivered IS NOT NULL)) AS ts""",
     )
 
 
 def delayed_activity(activity: DataFrame) -> DataFrame:
     """The whole activity table with some rows stamped 1 to 20 minutes before they arrive."""
-    delay = F.when(_every(23), F.col("event_id") % 20 + 1).otherwise(0).cast("int")
-    return activity.withColumn("_delay", delay).withColumn("ts", F.expr("ts - make_dt_interval(0, 0, _delay)")).drop("_delay")
+    minutes = "CASE WHEN event_id % 23 = 0 THEN event_id % 20 + 1 ELSE 0 END"
+    return activity.withColumn("ts", F.expr(f"ts - make_dt_interval(0, 0, CAST({minutes} AS INT))"))
 
 
 def event_messages(activity: DataFrame) -> DataFrame:
@@ -121,15 +111,13 @@ def event_messages(activity: DataFrame) -> DataFrame:
 
     A few messages are cut short, as a broken producer would leave them.
     """
-    names = EVENT_SCHEMA.names
-    positions = {"_n": "event_id", "_ts": "ts", "_user": "user_id"}
-    tagged = activity.select("*", *(F.col(source).alias(tag) for tag, source in positions.items()))
-    whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
-    cut_short = _text('{"event_id": "EVT-', F.col("_n"), '", "event_time"')
-    return security_events(tagged, *positions).select(
+    tagged = activity.selectExpr("*", "event_id AS _n", "ts AS _ts", "user_id AS _user")
+    whole = F.to_json(F.struct(*EVENT_SCHEMA.names), {"ignoreNullFields": "false"})
+    cut_short = F.expr("""concat('{"event_id": "EVT-', _n, '", "event_time"')""")
+    return security_events(tagged, "_n", "_ts", "_user").select(
         F.encode(F.when(F.col("_n") % 211 == 0, cut_short).otherwise(whole), "UTF-8").alias("value"),
         F.lit(TOPIC).alias("topic"),
-        (F.col("_user") % 8).cast("int").alias("partition"),
-        F.col("_n").alias("offset"),
-        F.col("_ts").cast("timestamp").alias("timestamp"),
+        F.expr("CAST(_user % 8 AS INT) AS partition"),
+        F.expr("_n AS offset"),
+        F.expr("CAST(_ts AS TIMESTAMP) AS timestamp"),
     )

@@ -33,16 +33,18 @@ def decode_messages(messages: DataFrame, schema: StructType = EVENT_SCHEMA) -> D
     """Event columns of each JSON message, its source position, and the text it was read from.
 
     A malformed payload gives an all-null event that the gate quarantines; ``raw_value`` keeps its text.
+    The event goes through ``inline`` so that it is parsed once per message: a plain ``event.*`` lets the
+    optimizer copy the parse into every later filter and column that uses one of its fields.
     """
     text = F.col("value").cast("string")
-    return messages.select(
-        F.from_json(text, schema).alias("event"),
+    parsed = messages.select(
+        text.alias("raw_value"),
         F.col("topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-        text.alias("raw_value"),
-    ).select("event.*", "topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "raw_value")
+    ).select("*", F.inline(F.array(F.from_json("raw_value", schema))))
+    return parsed.select(*schema.names, "topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "raw_value")
 
 
 def keyed_messages(events: DataFrame, payload: StructType = EVENT_SCHEMA) -> DataFrame:
