@@ -103,8 +103,10 @@ class CuratedStore:
         dated = shaped.withColumns(
             {EVENT_DATE: F.to_date(DATE_SOURCE[table]), BATCH_KEY: F.lit(batch_key or f"batch-{batch_id}")}
         )
+        # Ranges over date and row hash: a task writes few dates, and a large date is shared by many tasks.
+        spread = dated.repartitionByRange(EVENT_DATE, F.xxhash64(*shaped.columns))
         (
-            dated.write.mode("overwrite")
+            spread.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITION_COLUMNS)
             .parquet(self.path(table))

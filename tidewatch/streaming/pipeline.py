@@ -54,8 +54,8 @@ def _batch_key(batch: DataFrame, batch_id: int) -> str:
     return f"{query_id or 'batch'}-{batch_id}"
 
 
-def _unseen(batch: DataFrame, store: CuratedStore, table: str, batch_key: str) -> DataFrame:
-    """Rows of the batch whose key no earlier batch has stored.
+def _unseen(batch: DataFrame, store: CuratedStore, batch_key: str) -> DataFrame:
+    """Rows of the batch whose key no earlier batch has stored as fact or quarantine.
 
     Equal keys have equal event times, so the look-back reads two columns of the dates in the batch, and
     of those only the row groups that overlap the batch's time span on each date. Rows stored by a first
@@ -71,14 +71,14 @@ def _unseen(batch: DataFrame, store: CuratedStore, table: str, batch_key: str) -
     )
     if not spans:
         return batch
-    if len(spans) <= MAX_DATES_LISTED:
-        in_span = F.lit(False)
-        for span in spans:
-            in_span = in_span | F.col("event_timestamp").between(span["first"], span["last"])
-        stored = store.read(table, [span["day"] for span in spans]).filter(in_span)
-    else:
-        stored = store.read(table)
-    return without_match(batch, stored.filter(F.col(BATCH_KEY) != batch_key), *EVENT_KEY)
+    listed = len(spans) <= MAX_DATES_LISTED
+    in_span = F.lit(not listed)
+    for span in spans if listed else ():
+        in_span = in_span | F.col("event_timestamp").between(span["first"], span["last"])
+    dates = [span["day"] for span in spans] if listed else None
+    keys = [store.read(table, dates).filter(in_span).select(*EVENT_KEY, BATCH_KEY) for table in (FACT, QUARANTINE)]
+    stored = keys[0].unionAll(keys[1]).filter(F.col(BATCH_KEY) != batch_key)
+    return without_match(batch, stored, *EVENT_KEY)
 
 
 def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[DataFrame, int], None]:
@@ -86,19 +86,22 @@ def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[Data
 
     With ``look_back`` repeats are dropped inside the batch and against what is stored, so a late event is
     kept whatever its delay; without it the stream must have been de-duplicated before. Rows without a
-    key are all kept.
+    key are all kept. The batch and its new rows are cached, since each is used several times.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        key = _batch_key(batch, batch_id)
-        rows = (dedup_by_key(batch) if look_back else batch).persist()
+        cached = [batch.persist()]
         try:
-            for table, part in ((FACT, valid_events(rows)), (QUARANTINE, quarantined_events(rows))):
-                store.append(table, _unseen(part, store, table, key) if look_back else part, batch_id, key)
+            if batch.isEmpty():
+                return
+            key = _batch_key(batch, batch_id)
+            if look_back:
+                cached.append(_unseen(dedup_by_key(batch), store, key).persist())
+            store.append(FACT, valid_events(cached[-1]), batch_id, key)
+            store.append(QUARANTINE, quarantined_events(cached[-1]), batch_id, key)
         finally:
-            rows.unpersist()
+            for frame in cached:
+                frame.unpersist()
 
     return write
 
