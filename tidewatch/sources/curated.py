@@ -56,6 +56,10 @@ def create_curated_tables(spark: SparkSession, database: str, location: str) ->
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) "
             f"USING parquet {partitioning} LOCATION '{location}/{table}'"
         )
+        if table in DATE_SOURCE:
+            # The folder has to exist before partitions can be looked for in it.
+            nothing = spark.createDataFrame([], stored_schema(table))
+            nothing.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(f"{location}/{table}")
 
 
 def recover_partitions(spark: SparkSession, database: str) -> None:
