@@ -59,11 +59,13 @@ def _match_key(*columns: str) -> Column:
 def without_match(rows: DataFrame, existing: DataFrame, *keys: str, null_spread: int = 64) -> DataFrame:
     """Rows whose key is not in ``existing``; rows with a null in the key are kept.
 
-    The existing keys are reduced to distinct ones before the join, and a key that fills one shuffle
-    partition of ``rows`` is split by AQE's skew handling. Null keys can never match; they get one of
-    ``null_spread`` stand-in keys so that they do not all meet in one task.
+    The existing keys are reduced to distinct ones first, and a key that fills one shuffle partition of
+    ``rows`` is split by AQE's skew handling; for that both sides of the join must come straight from
+    their own shuffle, which they do because the join is on another expression than the distinct. Null
+    keys can never match; they get one of ``null_spread`` stand-in keys, so that they do not all meet in
+    one task.
     """
     stand_in = F.concat(F.lit("?"), F.pmod(F.xxhash64(*rows.columns), F.lit(null_spread)).cast("string"))
-    known = existing.filter(_has_key(*keys)).select(_match_key(*keys).alias("_match")).distinct()
+    known = existing.filter(_has_key(*keys)).select(*keys).distinct().select(_match_key(*keys).alias("_match"))
     keyed = rows.withColumn("_match", F.coalesce(_match_key(*keys), stand_in))
     return keyed.join(known, "_match", "left_anti").drop("_match")

@@ -21,6 +21,8 @@ log = logging.getLogger(__name__)
 
 # More distinct event dates than this in one micro-batch and the look-back reads every date.
 MAX_DATES_LISTED = 400
+# Batches of up to this many keys, some tens of megabytes, are broadcast in the look-back.
+MAX_KEYS_BROADCAST = 500_000
 
 
 @dataclass(frozen=True)
@@ -59,13 +61,19 @@ def _unseen(batch: DataFrame, store: CuratedStore, batch_key: str) -> DataFrame:
 
     Equal keys have equal event times, so the look-back reads two columns of the dates in the batch, and
     of those only the row groups that overlap the batch's time span on each date. Rows stored by a first
-    attempt at this same batch do not count: they are about to be replaced.
+    attempt at this same batch do not count: they are about to be replaced. The keys of a batch of counted,
+    moderate size are broadcast to the stored ones, so that those are filtered where they are read; for a
+    larger batch both sides are shuffled.
     """
     day = F.to_date("event_timestamp").alias("day")
     spans = (
         keyed_rows(batch)
         .groupBy(day)
-        .agg(F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"))
+        .agg(
+            F.min("event_timestamp").alias("first"),
+            F.max("event_timestamp").alias("last"),
+            F.count("*").alias("n"),
+        )
         .limit(MAX_DATES_LISTED + 1)
         .collect()
     )
@@ -78,6 +86,8 @@ def _unseen(batch: DataFrame, store: CuratedStore, batch_key: str) -> DataFrame:
     dates = [span["day"] for span in spans] if listed else None
     keys = [store.read(table, dates).filter(in_span).select(*EVENT_KEY, BATCH_KEY) for table in (FACT, QUARANTINE)]
     stored = keys[0].unionAll(keys[1]).filter(F.col(BATCH_KEY) != batch_key)
+    if listed and sum(span["n"] for span in spans) <= MAX_KEYS_BROADCAST:
+        stored = stored.join(F.broadcast(keyed_rows(batch).select(*EVENT_KEY)), list(EVENT_KEY), "left_semi")
     return without_match(batch, stored, *EVENT_KEY)
 
 
