@@ -70,6 +70,7 @@ def test_groups_are_reduced_before_they_are_shuffled(stored_fact):
 def test_profile_scans_once(stored_fact):
     plan = _plan(evidence.review(stored_fact.withColumnRenamed("bytes_out", "amount"), "x"))
     assert plan.count("FileScan parquet") == 1
+    assert "row_number(), 6, Partial" in plan
 
 
 def test_anti_join_splits_a_dominant_key(spark, stored_fact):

@@ -13,7 +13,7 @@ from tidewatch.operators.quality import valid_events
 from tidewatch.operators.dedup import dedup_by_id, dedup_by_key
 from tidewatch.plans.mart_views import register_marts, triage_store
 from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, QUARANTINE, CuratedStore
-from tidewatch.sources.messages import decode_messages
+from tidewatch.sources.messages import decode_messages, read_kafka_stream
 from tidewatch.streaming.pipeline import (
     PipelineConfig,
     connector_writer,
@@ -62,7 +62,8 @@ def log(spark, tmp_path):
 
     def add(lines):
         path = folder / f"{len(added):03}.txt"
-        path.write_text("\n".join(lines))
+        # Each line is "<offset> <message>"; copies of a message differ in their offset, as in a real log.
+        path.write_text("\n".join(f"{100 * len(added) + n} {line}" for n, line in enumerate(lines)))
         # The file source orders by modification time.
         os.utime(path, (1_700_000_000 + len(added), 1_700_000_000 + len(added)))
         added.append(path)
@@ -71,10 +72,10 @@ def log(spark, tmp_path):
         text = spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
         return decode_messages(
             text.select(
-                F.encode("value", "UTF-8").alias("value"),
+                F.expr("encode(regexp_extract(value, '^[0-9]+ (.*)$', 1), 'UTF-8') AS value"),
                 F.lit("security-events").alias("topic"),
                 F.lit(0).alias("partition"),
-                F.lit(0).cast("bigint").alias("offset"),
+                F.expr("CAST(regexp_extract(value, '^[0-9]+', 0) AS BIGINT) AS offset"),
                 F.lit("2026-08-06 10:00:00").cast("timestamp").alias("timestamp"),
             )
         )
@@ -107,9 +108,12 @@ def test_facts_and_quarantine_with_look_back(spark, log, config, tmp_path):
     assert {r.batch_id for r in store.read(FACT).collect()} == {0, 1, 2}
 
 
-def test_facts_by_watermark_state_drop_late_events(spark, log, tmp_path):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_facts_by_watermark_state_drop_late_events(spark, log, tmp_path, salts):
     add, stream = log
-    config = PipelineConfig(str(tmp_path / "checkpoints"), trigger={"availableNow": True}, look_back=False)
+    config = PipelineConfig(
+        str(tmp_path / "checkpoints"), trigger={"availableNow": True}, look_back=False, hot_key_salts=salts
+    )
     store = CuratedStore(spark, str(tmp_path / "curated"))
     for lines in BATCHES:
         add(lines)
@@ -192,6 +196,11 @@ def test_pipeline_marts_and_triage(spark, log, config, tmp_path):
     assert (summary.total_events, summary.threat_indicators) == (7, 2)
 
 
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_kafka_stream(spark, "broker:9092", "security-events", maxOffsetsPerTrigger="1000")
+
+
 def test_supervise_raises_the_failure(spark, log, config):
     add, stream = log
     add(BATCHES[0])

@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, NumericType
 
-# Text that reads as a number. try_cast alone would also take a Java type suffix such as "5d".
-_NUMBER_TEXT = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity|nan)$"
 _WHITESPACE = " \t\n\r\x0b\x0c"
 
 
@@ -22,11 +20,20 @@ def safe_ratio(part: Column, whole: Column, scale: int, factor: int = 1) -> Colu
 
 
 def as_double(value: Column, dtype: DataType) -> Column:
-    """``value`` as a double, null where it does not read as a number. Typed numbers skip the text test."""
+    """``value`` as a double, null where it does not read as a number.
+
+    Typed numbers are cast. Text may have digit groups (``1_000``); the Java-only spellings that a cast
+    would take, a type suffix (``5d``) and hexadecimal, are no numbers.
+    """
     if isinstance(dtype, (NumericType, BooleanType)):
         return value.cast("double")
-    text = F.regexp_replace(strip(value.cast("string")), r"(?<=\d)_(?=\d)", "")
-    return F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
+    text = F.lower(strip(value.cast("string")))
+    suffixed = text.endswith("d") | (text.endswith("f") & ~text.endswith("inf"))
+    return (
+        F.when(suffixed | text.contains("x"), F.lit(None))
+        .when(text.contains("_"), F.regexp_replace(text, r"(?<=\d)_(?=\d)", "").try_cast("double"))
+        .otherwise(text.try_cast("double"))
+    )
 
 
 def safe_float(value: Column, dtype: DataType, default: float = 0.0) -> Column:

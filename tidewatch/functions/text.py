@@ -10,10 +10,11 @@ from pyspark.sql.types import BooleanType, DataType
 
 from tidewatch.functions.numbers import strip
 
-# Flag texts that count as true, risk keywords, the money pattern, the excerpt length.
+# Flag texts that count as true, risk keywords, the money pattern, the excerpt length. A currency
+# sign may precede the number; it is left out of the pattern because it does not change which number is found.
 TRUE_TEXTS = ("1", "true", "yes", "y", "anomaly", "failed", "error")
 RISK_KEYWORDS = ("anomaly", "incident", "failed", "error", "risk", "urgent")
-AMOUNT_PATTERN = r"(?:[$£€]\s*)?(\d{1,3}(?:,\d{3})*(?:\.\d{2})|\d+(?:\.\d{2})?)"
+AMOUNT_PATTERN = r"\d{1,3}(?:,\d{3})*\.\d{2}|\d+(?:\.\d{2})?"
 EXCERPT_LENGTH = 900
 
 
@@ -44,12 +45,12 @@ def truthy(value: Column, dtype: DataType) -> Column:
 
 def first_amount(text: Column) -> Column:
     """First money-like number in the text, 0 if there is none."""
-    digits = F.replace(F.regexp_extract(text, AMOUNT_PATTERN, 1), F.lit(","), F.lit(""))
+    digits = F.replace(F.regexp_extract(text, AMOUNT_PATTERN, 0), F.lit(","), F.lit(""))
     return F.coalesce(digits.try_cast("double"), F.lit(0.0))
 
 
-def has_risk_keyword(text: Column) -> Column:
-    lowered = F.lower(text)
+def has_risk_keyword(lowered: Column) -> Column:
+    """Whether lower-cased text contains a risk keyword. Pass a column, so that it is lower-cased once."""
     found = F.lit(False)
     for keyword in RISK_KEYWORDS:
         found = found | lowered.contains(keyword)

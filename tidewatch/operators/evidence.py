@@ -221,12 +221,13 @@ def text_records(documents: DataFrame, id_column: str, text_column: str) -> Data
     """Evidence records from free text: the first amount, a risk flag and an excerpt per document."""
     text = strip(F.col(text_column).cast(StringType()))
     shown = F.coalesce(F.nullif(text, F.lit("")), F.lit(NO_TEXT_NOTE))
-    return documents.select(F.col(id_column).alias("document_page"), shown.alias("_text")).select(
+    texts = documents.select(F.col(id_column).alias("document_page"), shown.alias("_text"))
+    return texts.withColumn("_lowered", F.lower("_text")).select(
         "document_page",
         F.lit(PAGE_CATEGORY).alias("category"),
         F.lit(PAGE_CHANNEL).alias("sales_channel"),
         F.lit(1).alias("quantity"),
         first_amount(F.col("_text")).alias("order_amount"),
-        has_risk_keyword(F.col("_text")).alias("is_anomaly"),
+        has_risk_keyword(F.col("_lowered")).alias("is_anomaly"),
         excerpt(F.col("_text")).alias("text_excerpt"),
     )

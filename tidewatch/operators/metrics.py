@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import safe_ratio
+from tidewatch.operators.dedup import first_per_key
 from tidewatch.schemas import AGGREGATE_SCHEMA, METRIC_KEYS
 
 WINDOW_LENGTH = "1 minute"
@@ -61,5 +62,4 @@ def current_metrics(metric_log: DataFrame) -> DataFrame:
     Update-mode output appended to a table holds one row per micro-batch and key; summing it would count
     an event once per version. The newest ``batch_id`` wins.
     """
-    newest = Window.partitionBy(*METRIC_KEYS).orderBy(F.col("batch_id").desc_nulls_last())
-    return metric_log.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
+    return first_per_key(metric_log, METRIC_KEYS, F.desc_nulls_last("batch_id"))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import clamp
 from tidewatch.functions.text import digest_key, lookup
-from tidewatch.operators.dedup import without_match
+from tidewatch.operators.dedup import first_per_key, without_match
 from tidewatch.operators.marts import AsOf, report_time
 from tidewatch.rules import DEFAULT_ACTION, THREAT_CATALOGUE
 from tidewatch.schemas import INSIGHT_SCHEMA
@@ -116,9 +116,8 @@ def untriaged_threats(threats: DataFrame, insights: DataFrame, limit: int | None
 
 def new_insights(candidates: DataFrame, target: DataFrame) -> DataFrame:
     """Candidates to insert: the newest event of each insight_id, none that the target already holds."""
-    newest = Window.partitionBy("insight_id").orderBy(F.desc_nulls_last("event_timestamp"))
-    distinct = candidates.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
-    return without_match(distinct, target, "insight_id")
+    newest = first_per_key(candidates, ["insight_id"], F.desc_nulls_last("event_timestamp"))
+    return without_match(newest, target, "insight_id")
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,13 @@ class PipelineConfig:
     watermark_delay: str = "10 minutes"
     gate: QualityRules = STANDARD_GATE
     rules: DetectionRules = STANDARD_RULES
-    # "key" drops repeats of (event_id, event time) from the metrics, "id" repeats of event_id alone.
+    # What watermark state drops: "key" repeats of (event_id, event time), "id" repeats of event_id alone.
     dedup: str = "key"
     # True: facts are de-duplicated against the stored ones and late facts are kept.
     # False: by watermark state; cheaper on a large feed, and facts later than the watermark are dropped.
     look_back: bool = True
+    # Above 1: spread the copies of one event over this many tasks in watermark state (key de-duplication).
+    hot_key_salts: int = 1
 
 
 def enrich(events: DataFrame, config: PipelineConfig) -> DataFrame:
@@ -44,10 +47,26 @@ def enrich(events: DataFrame, config: PipelineConfig) -> DataFrame:
     return events.transform(clean_events, config.gate).transform(flag_threats, config.rules)
 
 
+def unique_events(events: DataFrame, config: PipelineConfig) -> DataFrame:
+    """The stream without repeats, by watermark state; this sets the watermark of the query."""
+    if config.dedup == "id":
+        return dedup_by_id(events, config.watermark_delay)
+    return dedup_by_key(events, config.watermark_delay, config.hot_key_salts)
+
+
 def stream_metrics(enriched: DataFrame, config: PipelineConfig) -> DataFrame:
-    """One-minute metrics of the valid, de-duplicated stream. The de-duplication sets the watermark."""
-    dedup = dedup_by_key if config.dedup == "key" else dedup_by_id
-    return security_metrics(dedup(valid_events(enriched), config.watermark_delay))
+    """One-minute metrics of the valid, de-duplicated stream."""
+    return security_metrics(unique_events(valid_events(enriched), config))
+
+
+@contextmanager
+def _cached(frame: DataFrame) -> Iterator[DataFrame]:
+    """The frame, cached; a micro-batch used twice would run its stateful plan twice."""
+    frame.persist()
+    try:
+        yield frame
+    finally:
+        frame.unpersist()
 
 
 def _batch_key(batch: DataFrame, batch_id: int) -> str:
@@ -100,18 +119,13 @@ def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[Data
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cached = [batch.persist()]
-        try:
+        with _cached(batch):
             if batch.isEmpty():
                 return
             key = _batch_key(batch, batch_id)
-            if look_back:
-                cached.append(_unseen(dedup_by_key(batch), store, key).persist())
-            store.append(FACT, valid_events(cached[-1]), batch_id, key)
-            store.append(QUARANTINE, quarantined_events(cached[-1]), batch_id, key)
-        finally:
-            for frame in cached:
-                frame.unpersist()
+            with _cached(_unseen(dedup_by_key(batch), store, key) if look_back else batch) as rows:
+                store.append(FACT, valid_events(rows), batch_id, key)
+                store.append(QUARANTINE, quarantined_events(rows), batch_id, key)
 
     return write
 
@@ -120,8 +134,9 @@ def table_writer(store: CuratedStore, table: str) -> Callable[[DataFrame, int],
     """Batch writer that appends a micro-batch, with its batch id, to one table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            store.append(table, batch, batch_id, _batch_key(batch, batch_id))
+        with _cached(batch):
+            if not batch.isEmpty():
+                store.append(table, batch, batch_id, _batch_key(batch, batch_id))
 
     return write
 
@@ -130,16 +145,17 @@ def connector_writer(columns: Sequence[str], fmt: str, **options: str) -> Callab
     """Batch writer for any Spark data source (a warehouse connector, JDBC): project, add batch id, append."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            rows = batch.withColumn("batch_id", F.lit(batch_id)).select(*columns)
-            rows.write.format(fmt).options(**options).mode("append").save()
+        with _cached(batch):
+            if not batch.isEmpty():
+                rows = batch.withColumn("batch_id", F.lit(batch_id)).select(*columns)
+                rows.write.format(fmt).options(**options).mode("append").save()
 
     return write
 
 
 def start_events(enriched: DataFrame, store: CuratedStore, config: PipelineConfig) -> StreamingQuery:
     """Facts and quarantine from one query: the source is read once for both."""
-    events = enriched if config.look_back else dedup_by_key(enriched, config.watermark_delay)
+    events = enriched if config.look_back else unique_events(enriched, config)
     return (
         events.writeStream.queryName("security_events")
         .foreachBatch(events_writer(store, config.look_back))
