@@ -1,5 +1,3 @@
-import pytest
-
 from tidewatch.operators.detect import enrich_from_catalogue
 from tidewatch.operators.rollups import indicators_by_reason
 from tidewatch.rules import NOTEBOOK_RULES, THREAT_CATALOGUE, DetectionRules, catalogue_frame

@@ -182,7 +182,7 @@ def test_pipeline_marts_and_triage(spark, log, config, tmp_path):
     for lines in BATCHES:
         add(lines)
     store = CuratedStore(spark, str(tmp_path / "curated"))
-    supervise(spark, start_pipeline(stream(), store, config), poll_seconds=2)
+    supervise(start_pipeline(stream(), store, config), poll_seconds=2)
     as_of = datetime(2026, 8, 6, 9, 45)
     assert triage_store(store, as_of=as_of).written == 2
     assert triage_store(store, as_of=as_of).written == 0
@@ -210,13 +210,13 @@ def test_supervise_raises_the_failure(spark, log, config):
 
     query = stream().writeStream.foreachBatch(fail).option("checkpointLocation", config.checkpoint_base).start()
     with pytest.raises(Exception, match="sink is down"):
-        supervise(spark, [query], poll_seconds=1)
+        supervise([query], poll_seconds=1)
 
 
 def test_console_and_connector_sinks(spark, log, config, tmp_path):
     add, stream = log
     add(BATCHES[0])
-    supervise(spark, start_pipeline(stream(), None, config), poll_seconds=1)
+    supervise(start_pipeline(stream(), None, config), poll_seconds=1)
     out = str(tmp_path / "out")
     writer = connector_writer(["event_id", "batch_id"], "json", path=out)
     query = stream().writeStream.foreachBatch(writer).option("checkpointLocation", f"{out}-cp").trigger(availableNow=True)

@@ -44,7 +44,7 @@ def main() -> None:
         events = decode_messages(read_kafka_stream(spark, args.bootstrap_servers, args.topic))
         config = PipelineConfig(args.checkpoints, {"processingTime": args.trigger}, args.watermark_delay)
         store = CuratedStore(spark, args.store) if args.store else None
-        supervise(spark, start_pipeline(events, store, config))
+        supervise(start_pipeline(events, store, config))
     elif args.job == "triage":
         report = triage_store(CuratedStore(spark, args.store), args.limit)
         print(f"fetched {report.fetched} threats, wrote {report.written} new insights")

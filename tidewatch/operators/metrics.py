@@ -42,18 +42,20 @@ def security_metrics(
     if watermark_delay:
         events = events.withWatermark("event_timestamp", watermark_delay)
     minute = F.window("event_timestamp", WINDOW_LENGTH)
-    grouped = events.groupBy(minute, "event_type", "target_system", "source_country").agg(
+    # A stream needs the window itself as a key to expire its state; a batch groups faster on a plain start.
+    key = minute.alias("window") if events.isStreaming else minute["start"].alias("window_start")
+    grouped = events.groupBy(key, "event_type", "target_system", "source_country").agg(
         *metric_measures(F.count_distinct if exact else F.approx_count_distinct), *extra
     )
+    if events.isStreaming:
+        grouped = grouped.withColumn("window_start", F.col("window.start")).drop("window")
+    derived = {
+        "window_end": F.col("window_start") + F.expr(f"INTERVAL {WINDOW_LENGTH}"),
+        "failure_rate": safe_ratio(F.col("failure_count"), F.col("event_count"), 4),
+    }
     wanted = [name for name in AGGREGATE_SCHEMA.names if name != "batch_id"]
-    kept = [name for name in grouped.columns if name not in wanted and name != "window"]
-    return grouped.withColumns(
-        {
-            "window_start": F.col("window.start"),
-            "window_end": F.col("window.end"),
-            "failure_rate": safe_ratio(F.col("failure_count"), F.col("event_count"), 4),
-        }
-    ).select(*wanted, *kept)
+    kept = [name for name in grouped.columns if name not in wanted]
+    return grouped.withColumns(derived).select(*wanted, *kept)
 
 
 def current_metrics(metric_log: DataFrame) -> DataFrame:

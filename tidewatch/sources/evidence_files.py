@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def read_csv_evidence(spark: SparkSession, path: str) -> DataFrame:
@@ -18,10 +18,13 @@ def read_csv_evidence(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_evidence(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A document that is an array of records, or an object with the records under ``events``."""
+    """A document that is an array of records, or an object with the records under ``events``.
+
+    One document is read by one task, since it cannot be split; large evidence belongs in JSON lines.
+    """
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     records = (reader.schema(schema) if schema else reader).json(path)
-    if "events" in records.columns:
+    if "events" in records.columns and isinstance(records.schema["events"].dataType, ArrayType):
         return records.select(F.explode("events").alias("record")).select("record.*")
     return records
 

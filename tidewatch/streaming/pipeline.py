@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -200,7 +200,7 @@ def start_pipeline(events: DataFrame, store: CuratedStore | None, config: Pipeli
     return [start_events(enriched, store, config), start_metrics(enriched, store, config)]
 
 
-def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], poll_seconds: int = 15) -> None:
+def supervise(queries: Sequence[StreamingQuery], poll_seconds: int = 15) -> None:
     """Wait until every query has ended; raise the failure of the first one that fails.
 
     Each round waits at most ``poll_seconds`` for one of the running queries, then logs their status.
