@@ -1,4 +1,4 @@
-"""Command line: ``python -m tidewatch stream | triage | review``, run with spark-submit on a cluster."""
+"""Command line: ``python -m tidewatch stream | triage | review``; the master comes from the Spark configuration."""
 
 from __future__ import annotations
 
