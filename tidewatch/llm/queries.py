@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fingerprint, langid, packing, simhash, toxicity, warc
+from tidewatch.llm import fingerprint, langid, packing, repeats, simhash, toxicity, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,16 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", (F.octet_length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
