@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import fingerprint, langid, packing, repeats, simhash, toxicity, warc
+from tidewatch.llm import decontam, fingerprint, langid, lines, packing, pii, repeats, simhash, toxicity, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -33,6 +38,16 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, how many of them go, and the hash of what is left."""
+    cut = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed",
+        F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -48,6 +63,15 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    return found.select(
+        "doc_id", *[pii.count_of(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans")
+    )
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -148,3 +148,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = staged(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "simhash-smallest")
     named = staged(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-named")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, all columns kept, that stand for their group of near-duplicates: the smallest doc_id.
+
+    Rows that share an id count as one document, of which one row stays; rows without id cannot be told apart and stay.
+    """
+    keepers = staged(near_duplicates(docs, radius=radius).select("component_id").distinct(), "simhash-keepers")
+    known = docs.filter(F.col("doc_id").isNotNull()).join(keepers, F.col("doc_id") == F.col("component_id"), "left_semi")
+    return known.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))

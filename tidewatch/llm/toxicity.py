@@ -296,3 +296,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     ])
     rows = _texts(docs).select("doc_id", (~training_row()).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double>>")
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns kept, that ``score`` does not predict to be toxic. A missing text stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Forms(model.terms)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.string()).to_pylist()
+            yield batch.filter(pa.array([model.score(term_counts(t, cache, model.terms))[0] < THRESHOLD for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
