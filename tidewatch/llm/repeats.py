@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import shuffle_partitions, staged
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
+#: Positions hashed at a time, so that the arrays stay in a core's cache.
+STRETCH = 1 << 15
 #: Suffixes that are sorted together into one shard's transform.
 SHARD = 1 << 18
 NO_ID = np.iinfo(np.int64).max
@@ -106,6 +108,60 @@ def interval_minima(strings: np.ndarray, values: np.ndarray, length: int) -> lis
     return np.split(least[order], np.cumsum(np.maximum(0, lengths - length + 1))[:-1])
 
 
+def _window_places(strings: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, at, hash) of all windows of ``length`` symbols."""
+    width = strings.dtype.itemsize
+    symbols = strings.view(np.uint8).reshape(-1, width)
+    windows = np.char.str_len(strings) - length + 1
+    inside = np.arange(width - length + 1) < windows[:, None]
+    string, at = np.nonzero(inside)
+    h = np.zeros((len(strings), width - length + 1), np.uint64)
+    for i in range(length):
+        h = h * _MULTIPLIER + symbols[:, i : i + width - length + 1]
+    return string, at, _mixed(h[inside])
+
+
+def _in_several(string: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which windows have a hash that windows of several strings have."""
+    order = np.argsort(hashes, kind="stable")
+    begins = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))) if len(order) else np.array([], np.int64)
+    several = np.zeros(len(order), bool)
+    if len(order):
+        owner = string[order]
+        mixed = np.minimum.reduceat(owner, begins) != np.maximum.reduceat(owner, begins)
+        several[order] = np.repeat(mixed, np.diff([*begins, len(order)]))
+    return several
+
+
+def window_minima(strings: np.ndarray, values: np.ndarray, length: int, rounds: int = 2) -> list[np.ndarray]:
+    """As ``interval_minima``, after cutting down the strings to the stretch that may repeat in another one.
+
+    A window whose hash no other string has keeps its string's value. What is left of the strings may coincide; it is
+    folded and looked at once more. Only then the transforms decide, by symbols.
+    """
+    string, at, hashes = _window_places(strings, length)
+    several = _in_several(string, hashes)
+    counts = np.maximum(0, np.char.str_len(strings) - length + 1)
+    low = np.repeat(values, counts)
+    if several.any():
+        where = np.flatnonzero(several)
+        owners, first = np.unique(string[where], return_index=True)
+        begin, end = at[where[first]], at[where[np.append(first[1:], len(where)) - 1]] + length
+        width = strings.dtype.itemsize
+        symbols = strings.view(np.uint8).reshape(-1, width)[owners]
+        places = np.minimum(begin[:, None] + np.arange(width), width - 1)
+        cut = np.where(np.arange(width) < (end - begin)[:, None], np.take_along_axis(symbols, places, axis=1), np.uint8(0))
+        folded, inverse = np.unique(np.ascontiguousarray(cut).view(f"S{width}").ravel(), return_inverse=True)
+        least = np.full(len(folded), NO_ID)
+        np.minimum.at(least, inverse, values[owners])
+        again = window_minima if rounds > 1 and len(folded) < len(strings) else interval_minima
+        found = again(folded, least, length, rounds - 1) if again is window_minima else again(folded, least, length)
+        offset = np.cumsum(counts) - counts
+        for i, b, k in zip(owners, begin, inverse):
+            low[offset[i] + b : offset[i] + b + len(found[k])] = found[k]
+    return np.split(low, np.cumsum(counts)[:-1])
+
+
 # --- anchors and segments -----------------------------------------------------------------------------------
 
 
@@ -118,16 +174,43 @@ def _slide(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - (width - have)], out[width - have :]) if width > have else out
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    h, have = data.astype(np.uint64) + np.uint64(1), 1
-    factor = _MULTIPLIER
-    while have < GRAM:
-        h = h[:-have] * factor + h[have:]
-        factor, have = factor * factor, 2 * have
+def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _MULTIPLIER
     return h ^ (h >> np.uint64(29))
 
 
+def _power(exponent: int) -> np.uint64:
+    return np.uint64(pow(int(_MULTIPLIER), exponent, 1 << 64))
+
+
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of all runs of GRAM bytes, put together from those of runs whose lengths are powers of two."""
+    level, size, out, have = data.astype(np.uint64) + np.uint64(1), 1, None, 0
+    while size <= GRAM:
+        if GRAM & size:
+            # The run so far follows this one.
+            n = len(data) - have - size + 1
+            out = level[:n] if out is None else level[:n] * _power(have) + out[size : size + n]
+            have += size
+        level = level[:-size] * _power(size) + level[size:]
+        size *= 2
+    return _mixed(out)
+
+
+def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, anchor, its hash) wherever the anchor changes from one window to the next."""
+    windows, span = len(data) - length + 1, length - GRAM + 1
+    found, before = [], -1
+    for at in range(0, windows, STRETCH):
+        hashes = _gram_hashes(data[at : at + STRETCH + length - 1])
+        packed = (hashes & _HIGH) | np.arange(len(hashes), dtype=np.uint64)
+        anchor = (_slide(packed, span) & ~_HIGH).astype(np.int64)
+        change = np.flatnonzero(np.diff(anchor, prepend=before))
+        found.append((change + at, anchor[change] + at, hashes[anchor[change]]))
+        before = int(anchor[-1]) - len(anchor)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 @dataclass
 class Batch:
     """Documents of one batch laid end to end, and the segments of their windows."""
@@ -151,17 +234,14 @@ class Batch:
         none = np.array([], np.int64)
         if len(data) < length:
             return cls(ids, data, bounds, none, none, none, none, none.astype(np.uint32))
-        hashes = _gram_hashes(data)
-        packed = (hashes & _HIGH) | np.arange(len(hashes), dtype=np.uint64)
-        anchor = (_slide(packed, length - GRAM + 1) & ~_HIGH).astype(np.int64)
-        owner = np.repeat(np.arange(len(ids)), sizes)[: len(anchor)]
-        valid = np.flatnonzero(np.arange(len(anchor)) + length <= bounds[owner + 1])
-        if not len(valid):
-            return cls(ids, data, bounds, none, none, none, none, none.astype(np.uint32))
-        starts = np.flatnonzero(np.diff(anchor[valid], prepend=-1))
-        first, last = valid[starts], valid[np.append(starts[1:], len(valid)) - 1]
-        key = hashes[anchor[first]]
-        return cls(ids, data, bounds, owner[first], first, last, (key % np.uint64(buckets)).astype(np.int64), (key // np.uint64(buckets)).astype(np.uint32))
+        begin, anchor, hashes = _anchors(data, length)
+        end = np.append(begin[1:], len(data) - length + 1) - 1
+        # All windows of a document that have this anchor lie in the document that holds it.
+        doc = np.searchsorted(bounds, anchor, side="right") - 1
+        first, last = np.maximum(begin, bounds[doc]), np.minimum(end, bounds[doc + 1] - length)
+        whole = np.flatnonzero(first <= last)
+        key = hashes[whole]
+        return cls(ids, data, bounds, doc[whole], first[whole], last[whole], (key % np.uint64(buckets)).astype(np.int64), (key // np.uint64(buckets)).astype(np.uint32))
 
     def shared(self, known: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
         """Segments by bucket whose key is among the bucket's known ones."""
@@ -287,7 +367,7 @@ def _find_minima(length: int) -> Callable[[pa.Table], pa.Table]:
         # A segment that is the only one with its anchor is its own repeated interval; the others go through the transforms.
         _, group, members = np.unique(keys, return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(members[group] > 1)
-        minima = dict(zip(mixed.tolist(), interval_minima(strings[mixed], value[mixed], length))) if len(mixed) else {}
+        minima = dict(zip(mixed.tolist(), window_minima(strings[mixed], value[mixed], length))) if len(mixed) else {}
         windows = np.char.str_len(strings) - length + 1
         bucket, rows, at = table.column("bucket")[0].as_py(), [], 0
         single = np.ones(len(strings), bool)
