@@ -14,8 +14,8 @@ FIRES = [
     ({"event_type": "config_change", "action": "logging_disabled"}, "audit_logging_disabled", "CRITICAL"),
     ({**PRIVILEGED, "mfa_used": False}, "privileged_access_without_mfa", "MEDIUM"),
     ({**PRIVILEGED, "mfa_used": None}, "privileged_access_without_mfa", "MEDIUM"),
-    ({**PRIVILEGED, "event_time": "2026-08-06T05:59:59+00:00"}, "off_hours_privileged_activity", "LOW"),
-    ({**PRIVILEGED, "event_time": "2026-08-06T22:00:00+00:00"}, "off_hours_privileged_activity", "LOW"),
+    ({**PRIVILEGED, "event_time": "2031-03-06T05:59:59+00:00"}, "off_hours_privileged_activity", "LOW"),
+    ({**PRIVILEGED, "event_time": "2031-03-06T22:00:00+00:00"}, "off_hours_privileged_activity", "LOW"),
     # Precedence: the earlier rule wins.
     ({**BRUTE, "failed_attempts_1h": 99, "source_country": "RU"}, "credential_brute_force", "HIGH"),
     ({"event_type": "privilege_change", "source_country": "RU"}, "unauthorized_privilege_escalation", "CRITICAL"),
@@ -27,7 +27,7 @@ FIRES = [
         "audit_logging_disabled",
         "CRITICAL",
     ),
-    ({**PRIVILEGED, "mfa_used": False, "event_time": "2026-08-06T02:00:00+00:00"}, "privileged_access_without_mfa", "MEDIUM"),
+    ({**PRIVILEGED, "mfa_used": False, "event_time": "2031-03-06T02:00:00+00:00"}, "privileged_access_without_mfa", "MEDIUM"),
 ]
 QUIET = [
     {**BRUTE, "failed_attempts_1h": 9},
@@ -42,8 +42,8 @@ QUIET = [
     {"source_country": None},
     {"event_type": "config_change", "action": "policy_update"},
     {**PRIVILEGED, "mfa_used": False, "outcome": "failure"},
-    {**PRIVILEGED, "event_time": "2026-08-06T06:00:00+00:00"},
-    {**PRIVILEGED, "event_time": "2026-08-06T21:59:59+00:00"},
+    {**PRIVILEGED, "event_time": "2031-03-06T06:00:00+00:00"},
+    {**PRIVILEGED, "event_time": "2031-03-06T21:59:59+00:00"},
     {**PRIVILEGED, "event_time": "not-a-time"},
     {"is_privileged_actor": None, "mfa_used": False},
 ]

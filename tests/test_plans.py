@@ -39,8 +39,8 @@ def test_scans_read_only_the_columns_they_need(spark):
 def stored_fact(spark, processed, tmp_path_factory):
     """A stored fact table in which one event id, actor and reason hold most rows."""
     path = str(tmp_path_factory.mktemp("fact") / "fact")
-    hot = [{"event_time": f"2026-08-06T09:{n // 60:02}:{n % 60:02}+00:00", "source_country": "RU"} for n in range(900)]
-    rest = [{"event_id": str(n), "actor_id": str(n), "event_time": "2026-08-06T09:30:00+00:00"} for n in range(300)]
+    hot = [{"event_time": f"2031-03-06T09:{n // 60:02}:{n % 60:02}+00:00", "source_country": "RU"} for n in range(900)]
+    rest = [{"event_id": str(n), "actor_id": str(n), "event_time": "2031-03-06T09:30:00+00:00"} for n in range(300)]
     valid_events(processed(*hot, *rest)).write.parquet(path)
     return spark.read.parquet(path)
 

@@ -24,8 +24,8 @@ REASON_CASES = [
 def test_normalises_and_accepts_an_ordinary_event(processed):
     row = processed({}).first()
     assert (row.quality_status, row.quality_failure_reason) == ("valid", "")
-    assert row.actor_email == "analyst@example.com"
-    assert row.target_system == "identity-provider"
+    assert row.actor_email == "pat.doe@sample.org"
+    assert row.target_system == "billing-core"
     assert row.source_country == "IE"
     assert row.event_hour == 9
     assert (row.is_anomaly, row.severity, row.severity_rank, row.mitre_tactic) == (False, "NONE", 0, None)

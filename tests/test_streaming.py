@@ -26,7 +26,7 @@ from tidewatch.streaming.pipeline import (
 
 
 def _event(event_id, clock, **override):
-    return json.dumps({**BASE_EVENT, "event_id": event_id, "event_time": f"2026-08-06T{clock}+00:00", **override})
+    return json.dumps({**BASE_EVENT, "event_id": event_id, "event_time": f"2031-03-06T{clock}+00:00", **override})
 
 
 # One list per micro-batch.
@@ -38,7 +38,7 @@ BATCHES = [
         "{broken one",
         "{broken two",
         _event("bad", "09:00:30", actor_id=""),
-        json.dumps({**BASE_EVENT, "event_id": None, "event_time": "2026-08-06T09:00:40+00:00"}),
+        json.dumps({**BASE_EVENT, "event_id": None, "event_time": "2031-03-06T09:00:40+00:00"}),
     ],
     [
         _event("a", "09:00:10"),
@@ -76,7 +76,7 @@ def log(spark, tmp_path):
                 F.lit("security-events").alias("topic"),
                 F.lit(0).alias("partition"),
                 F.expr("CAST(regexp_extract(value, '^[0-9]+', 0) AS BIGINT) AS offset"),
-                F.lit("2026-08-06 10:00:00").cast("timestamp").alias("timestamp"),
+                F.lit("2031-03-06 10:00:00").cast("timestamp").alias("timestamp"),
             )
         )
 

@@ -10,12 +10,12 @@ from tidewatch.schemas import INSIGHT_SCHEMA, THREAT_SCHEMA
 AS_OF = datetime(2026, 8, 6, 12)
 BASE = {
     "event_timestamp": datetime(2026, 8, 6, 9),
-    "event_id": "evt-1",
+    "event_id": "row-1",
     "event_type": "authentication",
     "actor_id": "USR-1",
     "actor_role": "contractor",
     "target_system": "admin-console",
-    "source_ip": "203.0.113.10",
+    "source_ip": "198.51.100.7",
     "source_country": "IE",
     "outcome": "failure",
     "bytes_out": 1000,
@@ -71,11 +71,11 @@ def test_scores_and_levels(threats):
 def test_insight_row(threats):
     row = triage.build_insights(threats({**ESCALATION, "outcome": "success"}), AS_OF).first()
     assert row.__fields__ == INSIGHT_SCHEMA.names
-    assert row.insight_id == hashlib.sha256(b"evt-1|unauthorized_privilege_escalation").hexdigest()[:32]
+    assert row.insight_id == hashlib.sha256(b"row-1|unauthorized_privilege_escalation").hexdigest()[:32]
     assert (row.generated_at, row.triage_queue) == (AS_OF, "tier2_incident_response")
     assert row.threat_explanation == (
         "Identity USR-1 (contractor) triggered the unauthorized_privilege_escalation rule against admin-console. "
-        "The event originated from 203.0.113.10 in IE and the outcome was success. It maps to MITRE ATT&CK "
+        "The event originated from 198.51.100.7 in IE and the outcome was success. It maps to MITRE ATT&CK "
         "TA0006:T1110 and is assessed as CRITICAL risk based on severity, volume, and whether the activity succeeded."
     )
     assert row.recommended_action.startswith("Revoke the granted role immediately")
@@ -121,7 +121,7 @@ def test_new_insights_collapse_duplicates_in_the_batch(threats):
     feed = threats({}, {"event_timestamp": datetime(2026, 8, 6, 10)}, {"event_id": "other"})
     known = triage.build_insights(threats({"event_id": "other"}), AS_OF)
     fresh = triage.new_insights(triage.build_insights(feed, AS_OF), known).collect()
-    assert [(r.event_id, r.event_timestamp.hour) for r in fresh] == [("evt-1", 10)]
+    assert [(r.event_id, r.event_timestamp.hour) for r in fresh] == [("row-1", 10)]
 
 
 def test_second_run_writes_nothing(spark, threats, tmp_path):

@@ -41,8 +41,6 @@ def flag_threats(events: DataFrame, rules: DetectionRules = STANDARD_RULES) -> D
 def enrich_from_catalogue(events: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Look severity, rank, tactic and action up by join, for a catalogue kept as a table.
 
-    The catalogue is one row per rule; ``broadcast`` is used for at most a thousand rows, checked by a
-    count of the catalogue, otherwise the join strategy is left to the optimizer.
+    The catalogue is one row per rule; the optimizer broadcasts it by its size.
     """
-    narrow = catalogue.limit(1001).count() <= 1000
-    return events.join(F.broadcast(catalogue) if narrow else catalogue, "threat_reason", "left")
+    return events.join(catalogue, "threat_reason", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,16 +32,21 @@ def mark_late(
     event_time: str = "event_timestamp",
     delay: str = "10 minutes",
     chunk: int = 1_000_000,
-    levels: int = 2,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add ``watermark`` and ``is_late``.
 
     ``position`` is the unique arrival number of the event. The watermark of an event is the largest event
     time that arrived before it minus ``delay``; an earlier event time is late. An event without a time
-    neither moves the watermark nor is late. Only the maxima of ``chunk ** levels`` positions each, 10^12
-    by default, meet in one task.
+    neither moves the watermark nor is late; one without a position has no watermark and is not late. The number of levels
+    follows from the largest position, so that no task sees more than ``chunk`` rows.
     """
-    seen = _earlier_maximum(events, position, event_time, "_max_seen", chunk, levels)
+    placed = events.filter(F.col(position).isNotNull())
+    if levels is None:
+        largest = placed.agg(F.max(position)).head()[0] or 0
+        levels = max(1, math.ceil(math.log(max(2, largest), chunk)))
+    seen = _earlier_maximum(placed, position, event_time, "_max_seen", chunk, levels)
+    seen = seen.unionByName(events.filter(F.col(position).isNull()), allowMissingColumns=True)
     watermark = F.col("_max_seen") - F.expr(f"INTERVAL {delay}")
     late = F.coalesce(F.col(event_time) < watermark, F.lit(False))
     return seen.withColumn("watermark", watermark).withColumn("is_late", late).drop("_max_seen")

@@ -62,6 +62,10 @@ def current_metrics(metric_log: DataFrame) -> DataFrame:
     """Latest version of every metric row.
 
     Update-mode output appended to a table holds one row per micro-batch and key; summing it would count
-    an event once per version. The newest ``batch_id`` wins.
+    an event once per version. The last written version wins, where the log says when that was, then the
+    newest ``batch_id``: batch numbers start again with a new checkpoint. The event date, where the log is stored by
+    it, follows from the window and joins the keys, so that filters on it reach the scan.
     """
-    return first_per_key(metric_log, METRIC_KEYS, F.desc_nulls_last("batch_id"))
+    keys = [*METRIC_KEYS, *(name for name in ("event_date",) if name in metric_log.columns)]
+    newest = [F.desc_nulls_last(name) for name in ("written_at", "batch_id") if name in metric_log.columns]
+    return first_per_key(metric_log, keys, *newest)

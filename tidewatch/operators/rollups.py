@@ -111,16 +111,18 @@ def event_target_rollup(fact: DataFrame) -> DataFrame:
     )
 
 
-def top_failed_auth_actors(fact: DataFrame, n: int = 10) -> DataFrame:
-    """Actors with most failed authentications."""
+def top_failed_auth_actors(fact: DataFrame, n: int | None = None) -> DataFrame:
+    """Actors with most failed authentications, the first ``n`` or all of them."""
     failed = fact.filter((F.col("event_type") == "authentication") & (F.col("outcome") == "failure"))
     counts = failed.groupBy("actor_id").agg(F.count("*").alias("failed_count"))
-    return counts.orderBy(F.desc("failed_count"), "actor_id").limit(n)
+    ranked = counts.orderBy(F.desc("failed_count"), "actor_id")
+    return ranked if n is None else ranked.limit(n)
 
 
-def recent_quarantine(quarantine_rows: DataFrame, n: int = 100) -> DataFrame:
-    """Quarantined records, newest ingestion first."""
-    return quarantine_rows.orderBy(F.desc_nulls_last("ingestion_timestamp"), F.desc("event_id")).limit(n)
+def recent_quarantine(quarantine_rows: DataFrame, n: int | None = None) -> DataFrame:
+    """Quarantined records, newest ingestion first, the first ``n`` or all of them."""
+    ranked = quarantine_rows.orderBy(F.desc_nulls_last("ingestion_timestamp"), F.desc("event_id"))
+    return ranked if n is None else ranked.limit(n)
 
 
 def newest_insights(insights: DataFrame, n: int = 20) -> DataFrame:

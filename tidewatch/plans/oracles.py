@@ -44,11 +44,11 @@ raw AS (
     CASE WHEN u % 11 = 0 THEN NULL ELSE u % 7 = 0 END AS is_privileged_actor,
     'SES-' || (n // 10) AS session_id,
     '10.0.' || (u % 256) || '.' || k AS source_ip,
-    (['IE','GB','US','DE','IN','ES','ru',' KP ','FR','ie'])[u % 10 + 1] AS source_country,
-    'managed_laptop' AS device_type,
+    (['SE','JP','BR','PL','CA','ZA','ru',' KP ','NZ','se'])[u % 10 + 1] AS source_country,
+    'tablet' AS device_type,
     'agent' AS user_agent,
     CASE WHEN n % 101 = 0 THEN NULL ELSE
-      (['identity-provider',' HR-Portal ','finance-erp','customer-crm','cloud-storage','admin-console'])[u % 6 + 1]
+      (['billing-core',' Staff-Desk ','ledger','crm-east','object-store','ops-panel'])[u % 6 + 1]
     END AS target_system,
     'res' || (k % 6) AS target_resource,
     'password' AS auth_method,
@@ -59,9 +59,9 @@ raw AS (
          WHEN kind = 'view' THEN CAST(floor(value * 5e6) AS BIGINT) ELSE CAST(floor(value * 100) AS BIGINT) END AS bytes_out,
     CASE WHEN kind = 'error' THEN k % 40 ELSE 0 END AS failed_attempts_1h,
     CASE WHEN kind = 'click' THEN k * 15 ELSE k % 40 END AS request_rate_1m,
-    'siem' AS detection_source,
+    'sensor' AS detection_source,
     false AS is_test_event,
-    'simulated-siem' AS source_system
+    'feed-a' AS source_system
   FROM outcomes
 )"""
 
@@ -228,6 +228,17 @@ def _sql(select: str, *ctes: str, feed: str = PLAIN) -> str:
     return _with(*_BASE, *ctes, feed=feed) + select
 
 
+def _on_time(source: str) -> str:
+    """Rows of the sliced feed that no watermark drops: it trails the largest event time of the slices before by ten minutes."""
+    own = " + ".join(f"CAST(ts >= TIMESTAMP '{start}' AS INTEGER)" for start in ("2024-01-08", "2024-01-16", "2024-01-24"))
+    return f"""
+arrived AS (SELECT *, least(3, {own} + CAST(n % 23 = 0 AS INTEGER)) AS slice FROM {source}),
+slices AS (SELECT slice, max(max(event_timestamp)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - INTERVAL 10 MINUTE AS watermark FROM arrived GROUP BY slice),
+on_time AS (SELECT arrived.* FROM arrived JOIN slices USING (slice)
+  WHERE event_timestamp IS NULL OR watermark IS NULL OR event_timestamp > watermark)"""
+
+
 _M = f"metrics AS ({_metrics('fact')})"
 _LAST_HOUR = f"BETWEEN {AS_OF} - INTERVAL 1 HOUR AND {AS_OF}"
 _METRIC_LOG = f"""
@@ -392,7 +403,7 @@ gated AS (
             "(SELECT unnest(string_split(quality_failure_reason, ',')) AS reason FROM quarantine) GROUP BY reason"
         ),
         "recent_quarantine": _sql(
-            f"SELECT {quarantine_columns} FROM quarantine ORDER BY ingestion_timestamp DESC NULLS LAST, event_id DESC LIMIT 100"
+            f"SELECT {quarantine_columns} FROM quarantine "
         ),
         "threat_flags": _sql(
             "SELECT event_id, threat_reason, is_anomaly, severity, severity_rank, mitre_tactic FROM enriched"
@@ -427,6 +438,7 @@ gated AS (
           SELECT event_id, ts, watermark, coalesce(ts < watermark, false) AS is_late FROM seen""",
         "keyed_publish": _with(RAW) + f"SELECT coalesce(nullif(actor_id, ''), event_id) AS key, {_JSON} AS value FROM raw",
         "metrics_1m_exact": _sql("SELECT * FROM metrics", _M),
+        "metrics_1m_approx": _sql("SELECT * REPLACE (true AS unique_actors, true AS unique_source_ips) FROM metrics", _M),
         "metrics_current": _sql("SELECT * FROM metrics", _METRIC_LOG),
         "security_trends": _sql("SELECT * FROM metrics", _M),
         "trend_slice": _sql(
@@ -447,7 +459,7 @@ gated AS (
         ),
         "top_failed_auth_actors": _sql(
             """SELECT actor_id, count(*) AS failed_count FROM fact WHERE event_type = 'authentication' AND outcome = 'failure'
-            GROUP BY actor_id ORDER BY failed_count DESC, actor_id LIMIT 10"""
+            GROUP BY actor_id"""
         ),
         "realtime_kpis": _sql(
             f"""SELECT max(window_end) AS latest_window, CAST(sum(event_count) AS BIGINT) AS events_last_hour,
@@ -573,15 +585,17 @@ gated AS (
             || '; top channel was ' || top_channel || '.' AS final_summary FROM prof""",
         "evidence_csv": _profile(ORDERS_EVIDENCE, "Order Amount;-;Sales-Channel;category;-"),
         "evidence_jsonl": _profile(ACTIVITY_EVIDENCE, "Value;Qty;source;type;status"),
+        "evidence_first_n": "SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 500",
         "text_evidence": _text_records("documents", "doc_id", "text"),
         "text_evidence_pages": _text_records("pages", "page_id", "html"),
         "text_evidence_profile": _profile(TEXT_EVIDENCE, "order_amount;quantity;sales_channel;category;is_anomaly"),
         "stream_fact_quarantine": stream_feed + _STORED,
-        "stream_dedup": stream_feed + _STORED,
+        "stream_dedup": _with(*_BASE, _on_time("enriched"), feed=REPLAYED) + _STORED.replace("FROM enriched", "FROM on_time"),
         "stream_metrics": _sql(
-            "SELECT * EXCLUDE (unique_actors, unique_source_ips), CAST(0 AS BIGINT) AS batch_id FROM metrics",
+            "SELECT * EXCLUDE (unique_actors, unique_source_ips) FROM metrics",
+            _on_time("fact"),
             f"""unique_facts AS (SELECT * FROM (
-              SELECT *, row_number() OVER (PARTITION BY event_id, event_timestamp) AS nth FROM fact) WHERE nth = 1),
+              SELECT *, row_number() OVER (PARTITION BY event_id, event_timestamp) AS nth FROM on_time) WHERE nth = 1),
             metrics AS ({_metrics("unique_facts")})""",
             feed=REPLAYED,
         ),

@@ -261,7 +261,12 @@ def metrics_1m_exact(spark, sf_dir):
 
 @query
 def metrics_1m_approx(spark, sf_dir):
-    return security_metrics(_fact(spark, sf_dir))
+    """The sketched counts, each as whether it lies within 15 %, three standard errors, of the exact one."""
+    exact = {"unique_actors": "actor_id", "unique_source_ips": "source_ip"}
+    counted = tuple(F.count_distinct(column).alias(f"exact_{name}") for name, column in exact.items())
+    both = security_metrics(_fact(spark, sf_dir), extra=counted)
+    close = {name: F.abs(F.col(name) - F.col(f"exact_{name}")) <= F.greatest(F.lit(0.5), 0.15 * F.col(f"exact_{name}")) for name in exact}
+    return both.withColumns(close).drop(*(f"exact_{name}" for name in exact))
 
 
 def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,7 +495,9 @@ def evidence_summary(spark, sf_dir):
 @query
 def evidence_csv(spark, sf_dir):
     path = f"{scratch_dir(spark, 'evidence')}/orders.csv"
-    _orders_evidence(spark, sf_dir).write.option("header", True).csv(path)
+    note = F.concat(F.lit('say "hi", ok\nC:\\dir\\ '), "o_orderkey", F.lit("\\"))
+    quoted = _orders_evidence(spark, sf_dir).select(note.alias("remark"), "*")
+    quoted.write.option("header", True).option("escape", '"').csv(path)
     return _shown_profile(evidence.profile(load_evidence(spark, path)))
 
 
@@ -501,6 +508,15 @@ def evidence_jsonl(spark, sf_dir):
     return _shown_profile(evidence.profile(load_evidence(spark, path)))
 
 
+@query
+def evidence_first_n(spark, sf_dir):
+    """The first records of several files, in file order."""
+    path = f"{scratch_dir(spark, 'evidence')}/first.jsonl"
+    ordered = feed.read_activity(spark, sf_dir).select("event_id", "user_id", "event_type")
+    ordered.repartitionByRange(4, "event_id").sortWithinPartitions("event_id").write.json(path)
+    return load_evidence(spark, path, limit=500).select("event_id", "user_id", "event_type")
+
+
 @query
 def text_evidence(spark, sf_dir):
     return evidence.text_records(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -523,18 +539,25 @@ def text_evidence_profile(spark, sf_dir):
 # --- streaming --------------------------------------------------------------------------------------
 
 
-def _stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replayed activity feed as a file stream of decoded events."""
-    schema = feed.read_activity(spark, sf_dir).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return feed.security_events(feed.replayed_activity(stream))
+# The feed arrives in slices of event time; every 23rd event comes one slice late.
+SLICES = ("2024-01-08", "2024-01-16", "2024-01-24")
+
+
+def _arrival_slice():
+    own = sum((F.col("ts") >= F.lit(start).cast("timestamp")).cast("int") for start in SLICES)
+    return F.least(F.lit(len(SLICES)), own + (F.col("event_id") % 23 == 0).cast("int"))
 
 
 def _run_to_end(start, spark: SparkSession, sf_dir: str, look_back: bool = True) -> CuratedStore:
+    """Run a stream over the replayed activity feed, whole, as it grows by a slice at a time; one checkpoint for all."""
     base = scratch_dir(spark, "stream")
     config = PipelineConfig(f"{base}/checkpoints", trigger={"availableNow": True}, look_back=look_back)
     store = CuratedStore(spark, f"{base}/curated")
-    start(enrich(_stream_feed(spark, sf_dir), config), store, config).awaitTermination()
+    arriving = feed.replayed_activity(feed.read_activity(spark, sf_dir)).withColumn("_slice", _arrival_slice())
+    for number in range(len(SLICES) + 1):
+        arriving.filter(F.col("_slice") == number).drop("_slice").write.mode("append").parquet(f"{base}/feed")
+        stream = spark.readStream.schema(arriving.drop("_slice").schema).parquet(f"{base}/feed")
+        start(enrich(feed.security_events(stream), config), store, config).awaitTermination()
     return store
 
 
@@ -558,4 +581,6 @@ def stream_dedup(spark, sf_dir):
 def stream_metrics(spark, sf_dir):
     store = _run_to_end(start_metrics, spark, sf_dir)
     # The distinct counts are sketches here; the exact ones are in metrics_1m_exact.
-    return current_metrics(store.read(METRICS)).drop("unique_actors", "unique_source_ips", "event_date", "batch_key")
+    return current_metrics(store.read(METRICS)).drop(
+        "unique_actors", "unique_source_ips", "event_date", "batch_key", "batch_id", "written_at"
+    )

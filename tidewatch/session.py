@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
@@ -11,23 +10,12 @@ from pyspark.sql import SparkSession
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 200 << 20, floor: int = 8) -> int:
-    """Shuffle partitions that keep one partition near ``target_bytes`` if all the input is shuffled.
-
-    AQE merges small partitions but never splits an ordinary one, so the starting number has to be
-    high enough for the largest shuffle; 100 TB gives about half a million.
-    """
-    return max(floor, math.ceil(input_bytes / target_bytes))
-
-
 # Settings that can also be applied to a running session.
 # Event hours and last-hour filters are defined in UTC, so the zone is pinned rather than inherited.
+RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 # HotSpot leaves methods above 8000 bytes to its interpreter; with this limit a wide stage is compiled
 # operator by operator instead (measured here: two to three times faster on scoring and exact metrics).
-RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -49,6 +37,7 @@ def build_session(
         builder = builder.master(master)
     settings = {
         **RUNTIME_SETTINGS,
+        **TUNING,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

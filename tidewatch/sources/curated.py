@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from tidewatch.schemas import AGGREGATE_SCHEMA, FACT_SCHEMA, INSIGHT_SCHEMA, conform
 
@@ -27,7 +27,9 @@ TABLE_SCHEMAS: dict[str, StructType] = {
 # The time that gives a row its date partition; insights are looked up by id and stay unpartitioned.
 DATE_SOURCE = {FACT: "event_timestamp", QUARANTINE: "event_timestamp", METRICS: "window_start"}
 EVENT_DATE, BATCH_KEY = "event_date", "batch_key"
-PARTITION_COLUMNS = (EVENT_DATE, BATCH_KEY)
+# The batch comes first: what a batch wrote is one folder, replaced as a whole when the batch is repeated.
+PARTITION_COLUMNS = (BATCH_KEY, EVENT_DATE)
+WRITTEN_AT = "written_at"
 
 # Layers: raw stays empty until a job lands undecoded messages there.
 LAYERS = ("raw", "curated", "marts")
@@ -37,7 +39,8 @@ def stored_schema(table: str) -> StructType:
     """Table columns plus the partition columns it is stored by."""
     fields = list(TABLE_SCHEMAS[table].fields)
     if table in DATE_SOURCE:
-        fields += [StructField(EVENT_DATE, DateType()), StructField(BATCH_KEY, StringType())]
+        fields += [StructField(WRITTEN_AT, TimestampType())] if table == METRICS else []
+        fields += [StructField(BATCH_KEY, StringType()), StructField(EVENT_DATE, DateType())]
     return StructType(fields)
 
 
@@ -72,8 +75,8 @@ def recover_partitions(spark: SparkSession, database: str) -> None:
 class CuratedStore:
     """The curated tables below one shared folder.
 
-    Event tables are partitioned by event date, so that last-hour filters prune, and by the batch that
-    wrote them, so that repeating a batch replaces exactly what its first attempt wrote.
+    Event tables are partitioned by the batch that wrote them, so that repeating a batch replaces exactly
+    what its first attempt wrote, and by event date, so that last-hour filters prune.
     """
 
     spark: SparkSession
@@ -89,7 +92,7 @@ class CuratedStore:
         """
         schema, path = stored_schema(table), self.path(table)
         if dates is not None:
-            path = f"{path}/{EVENT_DATE}={{{','.join(d.isoformat() for d in dates)}}}"
+            path = f"{path}/{BATCH_KEY}=*/{EVENT_DATE}={{{','.join(d.isoformat() for d in dates)}}}"
         try:
             return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(path)
         except AnalysisException as missing:
@@ -104,14 +107,31 @@ class CuratedStore:
         if table not in DATE_SOURCE:
             shaped.write.mode("append").parquet(self.path(table))
             return
-        dated = shaped.withColumns(
-            {EVENT_DATE: F.to_date(DATE_SOURCE[table]), BATCH_KEY: F.lit(batch_key or f"batch-{batch_id}")}
-        )
-        # Ranges over date and row hash: a task writes few dates, and a large date is shared by many tasks.
-        spread = dated.repartitionByRange(EVENT_DATE, F.xxhash64(*shaped.columns))
+        dated = shaped.withColumn(EVENT_DATE, F.to_date(DATE_SOURCE[table]))
+        if table == METRICS:
+            dated = dated.withColumn(WRITTEN_AT, F.current_timestamp())
+        # Rows of a date come together, and adaptive execution splits a large date.
+        spread = dated.hint("rebalance", EVENT_DATE)
         (
             spread.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITION_COLUMNS)
-            .parquet(self.path(table))
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(EVENT_DATE)
+            .parquet(f"{self.path(table)}/{BATCH_KEY}={batch_key or f'batch-{batch_id}'}")
         )
+
+    def compact(self, table: str, batch_key: str) -> None:
+        """Gather all batches of an event table into the one named ``batch_key``, then drop the others.
+
+        For use while no stream writes to the store. The rows keep their batch ids.
+        """
+        spark, root = self.spark, self.path(table)
+        rows = self.read(table)
+        old = [f.rsplit(f"/{EVENT_DATE}=", 1)[0] for f in rows.inputFiles()]
+        if any(f.endswith(f"{BATCH_KEY}={batch_key}") for f in old):
+            raise ValueError(f"{batch_key} is among the batches to gather")
+        rows.drop(BATCH_KEY).hint("rebalance", EVENT_DATE).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            EVENT_DATE
+        ).parquet(f"{root}/{BATCH_KEY}={batch_key}")
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in set(old):
+            path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(folder), True)

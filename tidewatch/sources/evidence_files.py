@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 
-def read_csv_evidence(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_evidence(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header row, every column text; a byte-order mark before the first name is dropped.
 
-    Empty fields read as empty text, not null.
+    Fields may be quoted; a quote inside is doubled, a backslash is itself. Empty fields read as empty text, not null. Quoted
+    line breaks are allowed unless ``multi_line`` is off, which lets Spark split large files.
     """
-    rows = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"').option("multiLine", multi_line)
+    rows = reader.csv(path)
     named = rows.toDF(*(name.lstrip("\ufeff") for name in rows.columns))
     return named.na.fill("")
 
@@ -53,6 +56,15 @@ def load_evidence(spark: SparkSession, path: str, fmt: str | None = None, limit:
 
 
 def first_records(records: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` records in read order (a plain ``limit`` may take them from any split)."""
-    ordered = records.withColumn("_position", F.monotonically_increasing_id())
-    return ordered.orderBy("_position").limit(limit).drop("_position")
+    """The first ``limit`` records by file name and place in the file (a plain ``limit`` may take them from any split).
+
+    The input is read whole, and each task passes on ``limit`` records at most.
+    """
+    place = [F.col(f"_metadata.{name}").alias(f"_{name}") for name in ("file_path", "file_block_start")]
+    try:
+        located = records.select("*", *place)
+    except AnalysisException:  # records made from a document, which one task reads
+        located = records.select("*", F.lit("").alias("_file_path"), F.lit(0).alias("_file_block_start"))
+    ordered = located.withColumn("_position", F.monotonically_increasing_id())
+    order = ["_file_path", "_file_block_start", "_position"]
+    return ordered.orderBy(*order).limit(limit).drop(*order)

@@ -16,15 +16,10 @@ from tidewatch.operators.detect import flag_threats
 from tidewatch.operators.metrics import security_metrics
 from tidewatch.operators.quality import clean_events, quarantined_events, valid_events
 from tidewatch.rules import STANDARD_GATE, STANDARD_RULES, DetectionRules, QualityRules
-from tidewatch.sources.curated import BATCH_KEY, FACT, METRICS, QUARANTINE, CuratedStore
+from tidewatch.sources.curated import BATCH_KEY, EVENT_DATE, FACT, METRICS, QUARANTINE, CuratedStore
 
 log = logging.getLogger(__name__)
 
-# More distinct event dates than this in one micro-batch and the look-back reads every date.
-MAX_DATES_LISTED = 400
-# Batches of up to this many keys, some tens of megabytes, are broadcast in the look-back.
-MAX_KEYS_BROADCAST = 500_000
-
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -78,36 +73,15 @@ def _batch_key(batch: DataFrame, batch_id: int) -> str:
 def _unseen(batch: DataFrame, store: CuratedStore, batch_key: str) -> DataFrame:
     """Rows of the batch whose key no earlier batch has stored as fact or quarantine.
 
-    Equal keys have equal event times, so the look-back reads two columns of the dates in the batch, and
-    of those only the row groups that overlap the batch's time span on each date. Rows stored by a first
-    attempt at this same batch do not count: they are about to be replaced. The keys of a batch of counted,
-    moderate size are broadcast to the stored ones, so that those are filtered where they are read; for a
-    larger batch both sides are shuffled.
+    Equal keys have equal event times, so the look-back joins two columns of the stored rows to the batch's
+    span of times on each date: the dates prune the folders that are read. Rows stored by a first attempt at this same
+    batch do not count: they are about to be replaced. The optimizer chooses between shuffle and broadcast by size.
     """
-    day = F.to_date("event_timestamp").alias("day")
-    spans = (
-        keyed_rows(batch)
-        .groupBy(day)
-        .agg(
-            F.min("event_timestamp").alias("first"),
-            F.max("event_timestamp").alias("last"),
-            F.count("*").alias("n"),
-        )
-        .limit(MAX_DATES_LISTED + 1)
-        .collect()
-    )
-    if not spans:
-        return batch
-    listed = len(spans) <= MAX_DATES_LISTED
-    in_span = F.lit(not listed)
-    for span in spans if listed else ():
-        in_span = in_span | F.col("event_timestamp").between(span["first"], span["last"])
-    dates = [span["day"] for span in spans] if listed else None
-    keys = [store.read(table, dates).filter(in_span).select(*EVENT_KEY, BATCH_KEY) for table in (FACT, QUARANTINE)]
-    stored = keys[0].unionAll(keys[1]).filter(F.col(BATCH_KEY) != batch_key)
-    if listed and sum(span["n"] for span in spans) <= MAX_KEYS_BROADCAST:
-        stored = stored.join(F.broadcast(keyed_rows(batch).select(*EVENT_KEY)), list(EVENT_KEY), "left_semi")
-    return without_match(batch, stored, *EVENT_KEY)
+    day = F.to_date("event_timestamp").alias(EVENT_DATE)
+    spans = keyed_rows(batch).groupBy(day).agg(F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"))
+    keys = [store.read(table).select(*EVENT_KEY, BATCH_KEY, EVENT_DATE) for table in (FACT, QUARANTINE)]
+    stored = keys[0].unionAll(keys[1]).filter(F.col(BATCH_KEY) != batch_key).join(spans, EVENT_DATE)
+    return without_match(batch, stored.filter(F.col("event_timestamp").between(F.col("_first"), F.col("_last"))), *EVENT_KEY)
 
 
 def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[DataFrame, int], None]:
@@ -120,8 +94,6 @@ def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[Data
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with _cached(batch):
-            if batch.isEmpty():
-                return
             key = _batch_key(batch, batch_id)
             with _cached(_unseen(dedup_by_key(batch), store, key) if look_back else batch) as rows:
                 store.append(FACT, valid_events(rows), batch_id, key)
