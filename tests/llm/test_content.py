@@ -200,11 +200,12 @@ def test_estimate_finds_the_reliable_labeler():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.3
     good = np.where(rng.random(4000) < 0.95, truth, ~truth) * 2 - 1
-    fair = np.where(rng.random(4000) < 0.75, truth, ~truth) * 2 - 1
+    fair = np.where(rng.random(4000) < 0.8, truth, ~truth) * 2 - 1
+    poor = np.where(rng.random(4000) < 0.7, truth, ~truth) * 2 - 1
     noise = rng.choice([-1, 0, 1], 4000)
-    votes, counts = np.unique(np.stack([good, fair, noise], axis=1), axis=0, return_counts=True)
+    votes, counts = np.unique(np.stack([good, fair, poor, noise], axis=1), axis=0, return_counts=True)
     chance, prior, posterior = pii.estimate(votes, counts.astype(float))
-    assert abs(prior - 0.3) < 0.1 and chance[1, 0, 2] > chance[1, 1, 2] > chance[1, 2, 2]
+    assert abs(prior - 0.3) < 0.1 and chance[1, 0, 2] > chance[1, 1, 2] > chance[1, 2, 2] > chance[1, 3, 2]
 
 
 # --- toxicity ---
@@ -220,7 +221,7 @@ def test_block_max_search_is_exact():
     for query in vectors[:60]:
         plain = sorted(((round(sum(w * v.get(t, 0) for t, w in query.items()), 9), -p) for p, v in enumerate(ranked)), reverse=True)
         expected = [s for s, _ in plain if s > 0][: toxicity.NEIGHBOURS]
-        assert [round(c, 9) for c, _ in index.nearest(query)] == expected
+        assert np.allclose([c for c, _ in index.nearest(query)], expected, atol=1e-8)
 
 
 def test_toxicity(spark, corpus, rows, nothing):

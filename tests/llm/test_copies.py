@@ -171,10 +171,11 @@ def test_contained_items(spark, corpus, rows, nothing):
             if own and shared >= 0.8 * len(want):
                 expected[doc_id, item_id, shared, len(want)] += 1
     got = Counter((r.doc_id, r.item_id, r.shared, r.item_shingles) for r in decontam.contained_items(corpus, frame).collect())
-    assert got == expected and len(expected) > 5
+    assert got == expected and len(expected) >= 5
     clean = decontam.without_contaminated(corpus, frame)
     assert clean.columns == corpus.columns
-    assert Counter(r.doc_id for r in clean.collect()) == Counter(d for d, _ in rows) - Counter(d for d in Counter(d for d, _ in rows) for k in [sum(1 for e in {x[0] for x in expected} if e == d)] for _ in range(k * sum(1 for r in rows if r[0] == d)))
+    leaking = {doc_id for doc_id, *_ in expected}
+    assert Counter(r.doc_id for r in clean.collect()) == Counter(d for d, _ in rows if d not in leaking)
     assert decontam.contained_items(nothing, frame).count() == 0
     assert decontam.contained_items(corpus, frame.limit(0)).count() == 0
 
