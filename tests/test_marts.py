@@ -7,7 +7,7 @@ from tidewatch.operators import marts, rollups
 from tidewatch.operators.metrics import security_metrics
 from tidewatch.operators.quality import quarantined_events, valid_events
 
-AS_OF = datetime(2026, 8, 6, 10)
+AS_OF = datetime(2031, 3, 6, 10)
 RU = {"source_country": "RU"}
 HOUR = [
     {"event_id": "1", "event_time": "2031-03-06T08:59:59+00:00"},
@@ -31,7 +31,7 @@ def test_kpis_cover_the_hour_only(tables):
     # The 08:59 window ends at 09:00 and still counts.
     assert (row.events_last_hour, row.failed_events_last_hour, row.threat_indicators_last_hour) == (4, 1, 2)
     assert (row.failure_rate, row.peak_severity_rank) == (0.25, 4)
-    assert row.latest_window == datetime(2026, 8, 6, 9, 41)
+    assert row.latest_window == datetime(2031, 3, 6, 9, 41)
 
 
 def test_scorecard(tables):

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from tidewatch.operators import rollups, triage
 from tidewatch.schemas import INSIGHT_SCHEMA, THREAT_SCHEMA
 
-AS_OF = datetime(2026, 8, 6, 12)
+AS_OF = datetime(2031, 3, 6, 12)
 BASE = {
-    "event_timestamp": datetime(2026, 8, 6, 9),
+    "event_timestamp": datetime(2031, 3, 6, 9),
     "event_id": "row-1",
     "event_type": "authentication",
     "actor_id": "USR-1",
@@ -105,9 +105,9 @@ def test_queues(threats):
 
 def test_untriaged_are_newest_first_and_match_on_event_only(threats):
     feed = threats(
-        {"event_id": "a", "event_timestamp": datetime(2026, 8, 6, 1)},
-        {"event_id": "b", "event_timestamp": datetime(2026, 8, 6, 3)},
-        {"event_id": "c", "event_timestamp": datetime(2026, 8, 6, 2)},
+        {"event_id": "a", "event_timestamp": datetime(2031, 3, 6, 1)},
+        {"event_id": "b", "event_timestamp": datetime(2031, 3, 6, 3)},
+        {"event_id": "c", "event_timestamp": datetime(2031, 3, 6, 2)},
         {"event_id": None, "event_timestamp": None},
     )
     # An insight for another reason of the same event still counts.
@@ -118,7 +118,7 @@ def test_untriaged_are_newest_first_and_match_on_event_only(threats):
 
 
 def test_new_insights_collapse_duplicates_in_the_batch(threats):
-    feed = threats({}, {"event_timestamp": datetime(2026, 8, 6, 10)}, {"event_id": "other"})
+    feed = threats({}, {"event_timestamp": datetime(2031, 3, 6, 10)}, {"event_id": "other"})
     known = triage.build_insights(threats({"event_id": "other"}), AS_OF)
     fresh = triage.new_insights(triage.build_insights(feed, AS_OF), known).collect()
     assert [(r.event_id, r.event_timestamp.hour) for r in fresh] == [("row-1", 10)]

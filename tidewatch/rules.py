@@ -10,6 +10,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.functions.text import sql_literal
+
 # Accepted domains.
 EVENT_TYPES = ("authentication", "data_access", "api_call", "privilege_change", "config_change")
 OUTCOMES = ("success", "failure", "blocked")
@@ -150,8 +152,11 @@ NOTEBOOK_RULES = DetectionRules(enabled=tuple(rule.reason for rule in THREAT_CAT
 
 
 def catalogue_frame(spark: SparkSession) -> DataFrame:
-    """The threat catalogue as a DataFrame of eight rows, for joins and reports."""
-    return spark.createDataFrame(
-        [(r.reason, r.severity, r.rank, r.mitre_tactic, r.action) for r in THREAT_CATALOGUE],
-        "threat_reason string, severity string, severity_rank int, mitre_tactic string, recommended_action string",
-    )
+    """The threat catalogue as a DataFrame of eight rows, for joins and reports.
+
+    It is a literal relation, whose size the optimizer knows.
+    """
+    columns = "threat_reason, severity, severity_rank, mitre_tactic, recommended_action"
+    rows = ((r.reason, r.severity, r.rank, r.mitre_tactic, r.action) for r in THREAT_CATALOGUE)
+    values = ", ".join("(" + ", ".join(map(sql_literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS catalogue({columns})")
