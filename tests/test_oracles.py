@@ -4,10 +4,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import connect, differences
+from tidewatch.plans.oracles import oracles
+from tidewatch.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-# Sketched distinct counts have no SQL twin; test_dedup_metrics and test_plans cover them.
-ROWS_ONLY = {"metrics_1m_approx"}
 
 
 @pytest.fixture(scope="module")
@@ -16,24 +16,15 @@ def sql():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) == set(oracles())
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles()))
 def test_query_matches_sql(spark, sql, name):
     result = queries()[name](spark, SF_DIR).toArrow()
     assert differences(result, sql.sql(oracle_sql()[name]).to_arrow_table()) == []
-
-
-def test_approximate_metrics_are_close(spark):
-    keys = ["window_start", "event_type", "target_system", "source_country"]
-    exact = queries()["metrics_1m_exact"](spark, SF_DIR)
-    approx = queries()["metrics_1m_approx"](spark, SF_DIR).withColumnRenamed("unique_actors", "approx_actors")
-    joined = exact.join(approx.select(*keys, "approx_actors"), keys)
-    assert joined.count() == exact.count()
-    assert joined.filter("abs(unique_actors - approx_actors) > 0.15 * unique_actors").count() == 0
