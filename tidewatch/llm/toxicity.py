@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import staged, training_row
+from tidewatch.llm.common import shuffle_partitions, staged, training_row
 
 #: The examples are about this many labelled rows of either label (all, if there are fewer), chosen by a hash of the id.
 SAMPLE_PER_LABEL = 4000
@@ -204,30 +204,35 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held = (Counter(), Counter())
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = _WORD.findall(text.lower())
-                found = list(text_terms(Counter(f for w in words for f in word_terms(w)), len(words)))
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([label] * len(found), pa.int32())], ["term", "toxic"])
+                held[label].update(text_terms(Counter(f for w in words for f in word_terms(w)), len(words)).keys())
+            found = list(held[0].keys() | held[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *(pa.array([h[t] for t in found], pa.int64()) for h in (held[1], held[0]))], ["term", "a", "b"])
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Forms(candidates)
         for batch in batches:
+            held = (set(), set())
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = _WORD.findall(text.lower())
                 after = [(crc32(b.encode("utf-8", "replace")), w) for b, w in zip(["", *words], words)]
-                found = list({(f, b) for b, w in after for f in cache[w]} | {(EVERY, crc32(f"{b} {w}".encode("utf-8", "replace"))) for b, w in after})
-                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([label] * len(found), pa.int32()), pa.array([b for _, b in found], pa.int64())], ["term", "toxic", "before"])
+                held[label].update((f, b) for b, w in after for f in cache[w])
+                held[label].update((EVERY, crc32(f"{b} {w}".encode("utf-8", "replace"))) for b, w in after)
+            for label, found in enumerate(held):
+                pairs = list(found)
+                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in pairs], pa.string()), pa.array([label] * len(pairs), pa.int32()), pa.array([b for _, b in pairs], pa.int64())], ["term", "toxic", "before"])
 
     size = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     one, zero = size.get(1, 0), size.get(0, 0)
     terms: dict[str, int] = {}
     if one and zero:
-        seen = examples.select("toxic", "text").mapInArrow(present, "term string, toxic int").groupBy("term").agg(
-            F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
-        )
+        texts = examples.select("toxic", "text").repartition(shuffle_partitions(spark))
+        seen = texts.mapInArrow(present, "term string, a long, b long").groupBy("term").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
         best = seen.withColumn("z", _z(one, zero)).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
         candidates = [r["term"] for r in best.collect()]
-        spread = examples.select("toxic", "text").mapInArrow(contexts, "term string, toxic int, before long").distinct().groupBy("term").agg(
+        spread = texts.mapInArrow(contexts, "term string, toxic int, before long").distinct().groupBy("term").agg(
             F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
         )
         whole = spread.filter(F.col("term") == EVERY).head()
