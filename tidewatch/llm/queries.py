@@ -75,7 +75,8 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    model, counted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_terms(counted, model)
 
 
 @query

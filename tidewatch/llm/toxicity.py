@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -70,7 +69,7 @@ class _Forms(dict):
 
 def term_counts(text: str | None, forms: _Forms, ids: dict[str, int]) -> dict[int, int]:
     """How often each known term occurs in the whole text."""
-    words = _WORD.findall((text or "").lower())
+    words = _WORD.findall(text.lower()) if text and ids else []
     found = Counter()
     for known in filter(None, map(forms.__getitem__, words)):
         found.update(known)
@@ -109,32 +108,40 @@ class Index:
         np.maximum.at(peaks, cell, value)
         return cls(ids[order], labels[order], starts, place, value, peaks.reshape(terms, blocks))
 
-    def nearest(self, vector: dict[int, float], k: int = NEIGHBOURS, leave_out: int | None = None) -> list[tuple[float, int]]:
+    def nearest(self, vector: dict[int, float], k: int = NEIGHBOURS, leave_out: int = -1) -> list[tuple[float, int]]:
         """The ``k`` examples of highest positive cosine as (cosine, place), ties to the smaller place.
 
-        A block is scored only if the sum of its maxima reaches the k-th best cosine so far, so the result is exact.
+        Blocks are taken by falling bound, the sum of their maxima, in steps of growing size, and only while the bound reaches the k-th best
+        cosine so far: the result is exact.
         """
         if not vector or not len(self.ids):
             return []
         terms, query = np.fromiter(vector, np.int64), np.fromiter(vector.values(), float)
-        bounds = (query[:, None] * self.peaks[terms]).sum(axis=0)
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] * (1 + 1e-9) < best[0][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for t, q in zip(terms, query):
-                a, b = self.starts[t, block], self.starts[t, block + 1]
-                scores[self.examples[a:b] - block * BLOCK] += q * self.values[a:b]
-            for i in np.flatnonzero(scores):
-                place = int(block * BLOCK + i)
-                if place != leave_out:
-                    item = (round(float(scores[i]), 12), -place)
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
-        return [(score, -place) for score, place in sorted(best, reverse=True)]
+        bounds = query @ self.peaks[terms]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        scores, places = np.zeros(0), np.zeros(0, np.int64)
+        done, step = 0, 4
+        while done < len(order):
+            if len(scores) == k:
+                order = order[: np.searchsorted(-bounds[order] * (1 + 1e-9), -scores[-1], side="right")]
+            blocks = order[done : done + step]
+            done, step = done + step, 2 * step
+            first = self.starts[terms[:, None], blocks].ravel()
+            count = self.starts[terms[:, None], blocks + 1].ravel() - first
+            at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            # The blocks of a step lie side by side; an example's products are added in the order of the terms.
+            slot = np.zeros(self.peaks.shape[1], np.int64)
+            slot[blocks] = np.arange(len(blocks))
+            example = self.examples[at]
+            cell = slot[example // BLOCK] * BLOCK + example % BLOCK
+            summed = np.bincount(cell, self.values[at] * np.repeat(np.repeat(query, len(blocks)), count), minlength=len(blocks) * BLOCK)
+            hit = np.flatnonzero(summed)
+            found = blocks[hit // BLOCK] * BLOCK + hit % BLOCK
+            scores, places = np.append(scores, np.round(summed[hit], 12)[found != leave_out]), np.append(places, found[found != leave_out])
+            best = np.lexsort((places, -scores))[:k]
+            scores, places = scores[best], places[best]
+        return list(zip(scores.tolist(), places.tolist()))
 
 
 def vote(found: list[tuple[float, int]], labels: np.ndarray) -> float:
@@ -183,8 +190,29 @@ def _z(one: float, zero: float) -> Column:
     return F.coalesce(F.try_divide(F.abs(F.col("a") / one - F.col("b") / zero), F.sqrt(F.greatest(F.lit(0.0), pooled * (1 - pooled)) * (1 / one + 1 / zero))), F.lit(0.0))
 
 
+def term_table(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
+    """(doc_id, held_out, terms, counts): the known terms of every whole text by number, and how often each occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Forms(terms)
+        for batch in batches:
+            found = [sorted(term_counts(t, cache, terms).items()) for t in batch.column(2).to_pylist()]
+            lists = [pa.array([[pair[k] for pair in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "held_out", "terms", "counts"])
+
+    rows = _texts(docs).select("doc_id", (~training_row()).alias("held_out"), "text")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, terms array<int>, counts array<int>")
+
+
 def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """Fit on a bounded sample of the learning rows that have label 0 or 1; count document frequencies over all of ``docs``.
+    """The model alone, see ``fit``."""
+    return fit(docs, labels, per_label)[0]
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> tuple[Model, DataFrame]:
+    """A model, and the term table of ``docs`` it was fitted on.
+
+    Fit on a bounded sample of the learning rows that have label 0 or 1; count document frequencies over all of ``docs``.
 
     A term is kept if its share of examples differs between the labels, and so does its form's share of all distinct pairs of neighbouring
     words: words that copies of one text share come with one context and fail the second test.
@@ -240,37 +268,30 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
         forms = {r["term"] for r in kept}
         terms = {t: i for i, t in enumerate(sorted(t for t in candidates if t.partition("#")[0] in forms))}
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, df, n = _Forms(terms), np.zeros(len(terms), np.int64), 0
-        for batch in batches:
-            n += batch.num_rows
-            for text in batch.column(0).to_pylist():
-                df[list(term_counts(text, cache, terms))] += 1
-        seen = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *seen], pa.int64()), pa.array([n, *df[seen]], pa.int64())], ["term", "n"])
-
-    idf = np.zeros(len(terms))
-    if terms:
-        counted = _texts(docs).select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-        df = {r["term"]: r["n"] for r in counted}
-        idf = np.array([np.log((df[-1] + 1) / (df.get(t, 0) + 1)) for t in range(len(terms))])
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Forms(terms)
-        for batch in batches:
-            found = [sorted(term_counts(t, cache, terms).items()) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[n for _, n in f] for f in found], pa.list_(pa.int64()))],
-                ["doc_id", "toxic", "terms", "counts"],
-            )
+    counted = staged(term_table(docs, terms), "toxicity-terms")
+    df = {r["term"]: r["count"] for r in counted.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}
+    rows_in_all = counted.count() if terms else 0
+    idf = np.array([np.log((rows_in_all + 1) / (df.get(t, 0) + 1)) for t in range(len(terms))])
 
-    held = examples.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, terms array<long>, counts array<long>").orderBy("doc_id").collect()
+    # The examples are a bounded sample: their vectors are the index, which every task gets.
+    vectors = staged(term_table(examples.repartition(shuffle_partitions(spark)), terms).join(F.broadcast(examples.select("doc_id", "toxic")), "doc_id"), "toxicity-vectors")
+    held = sorted(vectors.collect(), key=lambda r: r["doc_id"])
     ids, label = np.array([r["doc_id"] for r in held], np.int64), np.array([r["toxic"] for r in held], np.int64)
     index = Index.of([weights(dict(zip(r["terms"], r["counts"])), idf) for r in held], ids, label, len(terms))
-    vector = {r["doc_id"]: weights(dict(zip(r["terms"], r["counts"])), idf) for r in held}
-    votes = np.array([vote(index.nearest(vector[i], leave_out=p), index.labels) for p, i in enumerate(index.ids)])
+    place = {int(i): p for p, i in enumerate(index.ids)}
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            found = [vote(index.nearest(weights(dict(zip(r["terms"], r["counts"])), idf), leave_out=place[r["doc_id"]]), index.labels) for r in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "vote"])
+
+    spread_out = vectors.select("doc_id", "terms", "counts").repartition(shuffle_partitions(spark))
+    voted = {r["doc_id"]: r["vote"] for r in spread_out.mapInArrow(left_out, "doc_id long, vote double").collect()}
+    votes = np.array([voted[int(i)] for i in index.ids])
     prevalence = np.array([sizes.get(y, 0) / max(1, size.get(y, 0)) for y in (0, 1)])
-    return Model(terms, idf, index, calibration(votes, index.labels, prevalence[index.labels]) if len(held) else (np.array([]), np.array([])))
+    knots = calibration(votes, index.labels, prevalence[index.labels]) if len(held) else (np.array([]), np.array([]))
+    return Model(terms, idf, index, knots), counted
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -279,18 +300,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     A text without a known term (null and empty ones too) has no neighbour and gets the calibrated score of a zero vote; without any labels all scores
     are 0. Repeated rows and rows without id are scored like any other; an empty table gives no rows.
     """
+    return score_terms(term_table(docs, model.terms), model)
+
+
+def score_terms(counted: DataFrame, model: Model) -> DataFrame:
+    """``score`` of the documents in a term table of the model's terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, known = _Forms(model.terms), {}
+        known = {}
         for batch in batches:
             out = []
-            for doc_id, held_out, text in zip(*(c.to_pylist() for c in batch.columns)):
-                counts = term_counts(text, cache, model.terms)
-                key = tuple(sorted(counts.items()))
+            for doc_id, held_out, *pair in zip(*(c.to_pylist() for c in batch.columns)):
+                key = tuple(map(tuple, pair))
                 if key not in known:
                     if len(known) >= MEMORY // 10:
                         known.clear()
-                    known[key] = model.score(counts)
+                    known[key] = model.score(dict(zip(*key)))
                 chance, evidence = known[key]
                 out.append({"doc_id": doc_id, "held_out": held_out, "score": chance, "predicted": int(chance >= THRESHOLD), "evidence": [{"doc_id": i, "cosine": c} for i, c in evidence]})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
@@ -299,8 +324,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()),
         ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))),
     ])
-    rows = _texts(docs).select("doc_id", (~training_row()).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double>>")
+    return counted.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double>>")
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
