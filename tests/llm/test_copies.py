@@ -6,7 +6,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import xxhash
 
-from tidewatch.llm import decontam, fingerprint, lines, simhash
+import corpus_pipeline
+from tidewatch.llm import decontam, fingerprint, lines, near, similar, simhash
 from tidewatch.llm.common import components
 
 
@@ -105,6 +106,62 @@ def test_covering_masks_and_hot_keys(spark, monkeypatch):
     assert {tuple(sorted(p)) for p in got} == expected
 
 
+# --- near-duplicates by Jaccard similarity ---
+
+
+def _word_sets(rows):
+    words = [(t or "").encode().lower().split() for _, t in rows]
+    return [{tuple(w[i : i + min(5, len(w))]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+
+
+def _near_classes(rows):
+    sets = _word_sets(rows)
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    return _classes(len(rows), links)
+
+
+def _kept(rows):
+    smallest = defaultdict(lambda: float("inf"))
+    classes = _near_classes(rows)
+    for (doc_id, _), c in zip(rows, classes):
+        smallest[c] = min(smallest[c], float("inf") if doc_id is None else doc_id)
+    return Counter([*(set(smallest.values()) - {float("inf")}), *(None for d, _ in rows if d is None)])
+
+
+def test_pipeline_drops_near_copies(spark, corpus, rows, nothing):
+    rng = np.random.default_rng(3)
+    made = []
+    for i in range(20):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        edited = list(words)
+        edited[50], edited[120] = "other", "words"
+        made += [(200_000 + 2 * i, " ".join(words), "en", "x", 0, 1, 1, 1, None), (200_001 + 2 * i, " ".join(edited), "en", "x", 0, 1, 1, 1, None)]
+    docs = corpus.unionByName(spark.createDataFrame(made, corpus.schema))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == corpus.columns
+    expected = _kept(rows + [r[:2] for r in made])
+    assert Counter(r.doc_id for r in kept.collect()) == expected
+    assert sum(d is not None and d >= 200_000 for d in expected) == 20
+    assert near.near_duplicates(nothing).count() == 0
+
+
+def test_large_buckets_keep_every_link(spark):
+    """A hub whose variants are similar to it alone, a chain, a group of copies and dissimilar sets, all in one bucket."""
+    hub = set(range(200))
+    sets = [hub, *(hub - {2 * i, 2 * i + 1, 100 + i} | {1000 + 40 * i + j for j in range(30)} for i in range(40))]
+    sets += [set(range(30_000 + 8 * i, 30_100 + 8 * i)) for i in range(30)] + [set(range(7000, 7100)) | {8000 + i} for i in range(50)]
+    sets += [set(range(9000, 9080)) | {20_000 + 100 * i + j for j in range(20)} for i in range(60)]
+    n = len(sets)
+    links = {(i, j) for j in range(n) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    members = spark.createDataFrame([(1, i) for i in range(n)], "bucket long, id long")
+    bodies = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, body array<long>")
+    got = {(r.a, r.b) for r in similar.similar_pairs(members, bodies, similar.F.col).collect()}
+    assert got <= links and _classes(n, got) == _classes(n, links)
+    assert not any((i, j) in links for j in range(2, 41) for i in range(1, j))
+    alone = spark.createDataFrame([(i, i) for i in range(n)], "id long, root long")
+    assert links <= {tuple(r) for r in similar.prefix_pairs(alone, bodies, similar.F.col, 0.8, "t").collect()}
+
+
 # --- lines ---
 
 
