@@ -210,6 +210,23 @@ def test_lines_of_one_large_class(spark, monkeypatch):
     assert sorted(((r.doc_id, r.removed, r.text) for r in got.collect()), key=repr) == sorted(_plain_lines(made, lines.SIMILARITY), key=repr)
 
 
+def test_lines_around_a_hub(spark):
+    """Copies of a frequent line, each with edits of its own: all are similar to that line, few to each other."""
+    rng = np.random.default_rng(7)
+    hub = "".join(chr(97 + x) for x in rng.integers(0, 26, 300))
+    texts = [hub]
+    for _ in range(150):
+        line = list(hub)
+        for at in rng.choice(300, 3, replace=False):
+            line[at] = chr(65 + int(rng.integers(0, 26)))
+        texts.append("".join(line))
+    made = [(i, f"{t}\n{rng.bytes(20).hex()}") for i, t in enumerate(texts)]
+    got = lines.deduplicated(spark.createDataFrame(made, "doc_id long, text string"))
+    expected = _plain_lines(made, lines.SIMILARITY)
+    assert sorted(((r.doc_id, r.removed, r.text) for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    assert sum(gone == [0] for _, gone, _ in expected) == 150
+
+
 # --- decontamination ---
 
 
