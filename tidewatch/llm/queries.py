@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontam, fingerprint, langid, lines, packing, pii, repeats, simhash, toxicity, warc
+from tidewatch.llm import decontam, fingerprint, langid, lines, packing, pii, repeats, simhash, toxicity, tries, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,4 +85,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations, each with up to five first turns taken from the conversation its hundred starts with."""
+    c = F.col("conv_id")
+    heads = F.crc32(c.cast("string").cast("binary")) % 6
+    return tries.prefix_trie(tries.grafted(tries.turn_lists(table(spark, sf_dir, "conversations")), c - c % 100, heads, 5))
+
+
 ORACLE_SQL: dict[str, str] = {}
