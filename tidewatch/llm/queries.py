@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontam, fingerprint, langid, lines, packing, pii, repeats, simhash, toxicity, tries, warc
+from tidewatch.llm import align, decontam, fingerprint, langid, lines, packing, pii, repeats, simhash, toxicity, tries, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,4 +93,9 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.prefix_trie(tries.grafted(tries.turn_lists(table(spark, sf_dir, "conversations")), c - c % 100, heads, 5))
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL: dict[str, str] = {}
