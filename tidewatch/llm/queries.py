@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import align, decontam, fingerprint, langid, lines, packing, pii, repeats, simhash, toxicity, tries, warc
+from tidewatch.llm import align, decontam, fingerprint, langid, lines, packing, pii, quality_rules, repeats, simhash, toxicity, tries, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,4 +98,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 ORACLE_SQL: dict[str, str] = {}
