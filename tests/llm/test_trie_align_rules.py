@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import SF_DIR
+from tests.oracle import connect, differences
 from tidewatch.llm import align, quality_rules, queries, tries
 from tidewatch.llm.common import table
 
@@ -128,6 +129,11 @@ def test_trie_query(spark):
     assert _rows(queries.QUERIES["op11_conversation_trie"](spark, SF_DIR)) == _trie(_grafted(_conversations(rows)))
 
 
+def test_trie_matches_sql(spark):
+    result = queries.QUERIES["op11_conversation_trie"](spark, SF_DIR).toArrow()
+    assert differences(result, connect(SF_DIR).sql(queries.ORACLE_SQL["op11_conversation_trie"]).to_arrow_table()) == []
+
+
 # --- token alignment ---
 
 

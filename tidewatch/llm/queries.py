@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import align, decontam, fingerprint, langid, lines, packing, pii, quality_rules, repeats, simhash, toxicity, tries, warc
 from tidewatch.llm.common import table
+from tidewatch.llm.sql import ORACLE_SQL  # noqa: F401 - the registered queries' twins
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -103,5 +104,3 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
 
-
-ORACLE_SQL: dict[str, str] = {}
