@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tidewatch.operators import dedup, evidence, marts, rollups, triage
 from tidewatch.operators.metrics import security_metrics
 from tidewatch.operators.quality import valid_events
+from tidewatch.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # These run their job while the query is built, or stage files for it.
@@ -19,10 +19,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - STAGED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STAGED))
 def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, name):
-    plan = _plan(queries()[name](spark, SF_DIR))
-    for banned in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    plan = _plan(QUERIES[name](spark, SF_DIR))
+    for banned in ("Python", "ArrowEval", "MapInArrow", "MapInPandas", "FlatMap", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in plan, plan
 
 
@@ -30,9 +30,9 @@ def test_scans_read_only_the_columns_they_need(spark):
     def columns(df):
         return sorted(set(re.findall(r"(\w+):", " ".join(re.findall(r"ReadSchema: struct<(.*?)>", _plan(df))))))
 
-    assert columns(queries()["evidence_profile"](spark, SF_DIR)) == ["o_orderpriority", "o_orderstatus", "o_totalprice"]
-    assert columns(queries()["evidence_profile_no_amount"](spark, SF_DIR)) == []
-    assert columns(queries()["text_evidence"](spark, SF_DIR)) == ["doc_id", "text"]
+    assert columns(QUERIES["evidence_profile"](spark, SF_DIR)) == ["o_orderpriority", "o_orderstatus", "o_totalprice"]
+    assert columns(QUERIES["evidence_profile_no_amount"](spark, SF_DIR)) == []
+    assert columns(QUERIES["text_evidence"](spark, SF_DIR)) == ["doc_id", "text"]
 
 
 @pytest.fixture(scope="module")
@@ -51,11 +51,13 @@ def test_filters_reach_the_stored_fact_table(stored_fact):
 
 def test_top_n_reports_do_not_sort_everything(stored_fact):
     for report in (
-        rollups.top_failed_auth_actors(stored_fact),
-        rollups.recent_quarantine(stored_fact),
+        rollups.top_failed_auth_actors(stored_fact, 10),
+        rollups.recent_quarantine(stored_fact, 10),
         marts.top_threat(stored_fact),
     ):
         assert "TakeOrderedAndProject" in _plan(report)
+    # Without n the whole ranking is asked for: a sort by ranges over all tasks.
+    assert "rangepartitioning" in _plan(rollups.recent_quarantine(stored_fact))
 
 
 def test_groups_are_reduced_before_they_are_shuffled(stored_fact):
@@ -113,5 +115,5 @@ def test_null_keys_are_spread_over_tasks(spark):
 
 @pytest.mark.parametrize("name", ["decoded_messages", "valid_events"])
 def test_messages_are_parsed_once(spark, name):
-    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
