@@ -585,6 +585,7 @@ gated AS (
             || '; top channel was ' || top_channel || '.' AS final_summary FROM prof""",
         "evidence_csv": _profile(ORDERS_EVIDENCE, "Order Amount;-;Sales-Channel;category;-"),
         "evidence_jsonl": _profile(ACTIVITY_EVIDENCE, "Value;Qty;source;type;status"),
+        "evidence_json": _profile(ACTIVITY_EVIDENCE, "Value;Qty;source;type;status"),
         "evidence_first_n": "SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 500",
         "text_evidence": _text_records("documents", "doc_id", "text"),
         "text_evidence_pages": _text_records("pages", "page_id", "html"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -508,6 +509,35 @@ def evidence_jsonl(spark, sf_dir):
     return _shown_profile(evidence.profile(load_evidence(spark, path)))
 
 
+def _as_documents(rows: DataFrame, opening: str, closing: str) -> DataFrame:
+    """The lines of one JSON document a partition: what opens it, the records with commas between, what closes it."""
+
+    def run(batches):
+        first = True
+        yield pa.RecordBatch.from_pydict({"value": [opening]})
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            if texts:
+                yield pa.RecordBatch.from_pydict({"value": [f"{'' if first and not i else ', '}{text}" for i, text in enumerate(texts)]})
+                first = False
+        yield pa.RecordBatch.from_pydict({"value": [closing]})
+
+    return rows.select(F.to_json(F.struct("*"))).mapInArrow(run, "value string")
+
+
+@query
+def evidence_json(spark, sf_dir):
+    """JSON documents of both shapes: an array, and an object with the records and something else beside them."""
+    base = scratch_dir(spark, "evidence")
+    remark = F.concat(F.lit('}{"events": [ \\'), "event_id", F.lit('"')).alias("remark")
+    rows = _activity_evidence(spark, sf_dir).select(remark, F.create_map(F.lit("{"), F.col("event_id")).alias("extra"), "*")
+    even = F.pmod(F.col("event_id"), F.lit(2)) == 0
+    _as_documents(rows.filter(even), "[", "]").write.text(f"{base}/both.json/arrays")
+    _as_documents(rows.filter(~even | F.col("event_id").isNull()), '{"from": {"a": [{"b": 1}]}, "events":\n[', '], "also": [{"c": 2}]}').write.text(f"{base}/both.json/objects")
+    shapes = [load_evidence(spark, f"{base}/both.json/{name}", fmt="json") for name in ("arrays", "objects")]
+    return _shown_profile(evidence.profile(shapes[0].unionByName(shapes[1], allowMissingColumns=True)))
+
+
 @query
 def evidence_first_n(spark, sf_dir):
     """The first records of several files, in file order."""
