@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import safe_ratio
 from tidewatch.operators.dedup import first_per_key
-from tidewatch.schemas import AGGREGATE_SCHEMA, METRIC_KEYS
+from tidewatch.operators.distinct import merged_sketch, sketch, sketched_count
+from tidewatch.schemas import AGGREGATE_SCHEMA, METRIC_KEYS, SKETCHES
 
 WINDOW_LENGTH = "1 minute"
 
@@ -32,20 +33,22 @@ def security_metrics(
     watermark_delay: str | None = None,
     exact: bool = False,
     extra: tuple[Column, ...] = (),
+    keep_sketches: bool = False,
 ) -> DataFrame:
     """Tumbling one-minute metrics per event type, target system and source country.
 
     ``watermark_delay`` is for a stream that has no watermark yet: Spark allows one definition per
     lineage, so leave it out after a de-duplication step. Actors and addresses are counted with
-    mergeable sketches; ``exact=True`` counts them exactly and is for batch input only.
+    mergeable sketches, which ``keep_sketches`` keeps beside the counts; ``exact=True`` counts them exactly and is for batch input only.
     """
     if watermark_delay:
         events = events.withWatermark("event_timestamp", watermark_delay)
     minute = F.window("event_timestamp", WINDOW_LENGTH)
     # A stream needs the window itself as a key to expire its state; a batch groups faster on a plain start.
     key = minute.alias("window") if events.isStreaming else minute["start"].alias("window_start")
+    sketches = [] if exact else [sketch(column).alias(name) for name, (column, _) in SKETCHES.items()]
     grouped = events.groupBy(key, "event_type", "target_system", "source_country").agg(
-        *metric_measures(F.count_distinct if exact else F.approx_count_distinct), *extra
+        *metric_measures(F.count_distinct if exact else lambda column: sketched_count(sketch(column))), *(sketches if keep_sketches else []), *extra
     )
     if events.isStreaming:
         grouped = grouped.withColumn("window_start", F.col("window.start")).drop("window")
@@ -69,3 +72,13 @@ def current_metrics(metric_log: DataFrame) -> DataFrame:
     keys = [*METRIC_KEYS, *(name for name in ("event_date",) if name in metric_log.columns)]
     newest = [F.desc_nulls_last(name) for name in ("written_at", "batch_id") if name in metric_log.columns]
     return first_per_key(metric_log, keys, *newest)
+
+
+def sketched_actors(metrics: DataFrame, *keys: str | Column) -> DataFrame:
+    """Distinct actors and addresses over coarser keys, from the sketches kept with the minutes.
+
+    Counts of minutes do not add up, as an actor is seen in many of them; the sketches are united instead. ``metrics`` must hold one
+    version per minute (``current_metrics``) with its sketches.
+    """
+    united = {name: merged_sketch(name) for name in SKETCHES}
+    return metrics.groupBy(*keys).agg(*(sketched_count(united[name]).alias(count) for name, (_, count) in SKETCHES.items()))

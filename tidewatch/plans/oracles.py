@@ -438,7 +438,17 @@ gated AS (
           SELECT event_id, ts, watermark, coalesce(ts < watermark, false) AS is_late FROM seen""",
         "keyed_publish": _with(RAW) + f"SELECT coalesce(nullif(actor_id, ''), event_id) AS key, {_JSON} AS value FROM raw",
         "metrics_1m_exact": _sql("SELECT * FROM metrics", _M),
-        "metrics_1m_approx": _sql("SELECT * REPLACE (true AS unique_actors, true AS unique_source_ips) FROM metrics", _M),
+        # Sketches of up to a few hundred values are exact, so the sketched counts have to be the exact ones.
+        "metrics_1m_approx": _sql("SELECT * FROM metrics", _M),
+        "hourly_actors_sketched": _sql(
+            "SELECT date_trunc('hour', event_timestamp) AS hour, event_type, count(DISTINCT actor_id) AS unique_actors, "
+            "count(DISTINCT source_ip) AS unique_source_ips, CAST(0 AS DOUBLE) AS actors_error FROM fact GROUP BY 1, 2"
+        ),
+        "distinct_rollup": _sql(
+            "SELECT hour, event_type, target_system, count(DISTINCT actor_id) AS unique_actors "
+            "FROM (SELECT *, date_trunc('hour', event_timestamp) AS hour FROM fact) "
+            "GROUP BY GROUPING SETS ((hour, event_type, target_system), (event_type, target_system))"
+        ),
         "metrics_current": _sql("SELECT * FROM metrics", _METRIC_LOG),
         "security_trends": _sql("SELECT * FROM metrics", _M),
         "trend_slice": _sql(
@@ -593,7 +603,7 @@ gated AS (
         "stream_fact_quarantine": stream_feed + _STORED,
         "stream_dedup": _with(*_BASE, _on_time("enriched"), feed=REPLAYED) + _STORED.replace("FROM enriched", "FROM on_time"),
         "stream_metrics": _sql(
-            "SELECT * EXCLUDE (unique_actors, unique_source_ips) FROM metrics",
+            "SELECT * FROM metrics",
             _on_time("fact"),
             f"""unique_facts AS (SELECT * FROM (
               SELECT *, row_number() OVER (PARTITION BY event_id, event_timestamp) AS nth FROM on_time) WHERE nth = 1),

@@ -6,16 +6,17 @@ from collections.abc import Callable
 from datetime import datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tidewatch.operators import dedup, evidence, marts, quality, rollups, triage
 from tidewatch.operators.detect import enrich_from_catalogue, flag_threats
 from tidewatch.operators.lateness import mark_late
-from tidewatch.operators.metrics import current_metrics, security_metrics
+from tidewatch.operators.distinct import distinct_sets, extended_dictionary, merged_sets, set_sizes
+from tidewatch.operators.metrics import current_metrics, security_metrics, sketched_actors
 from tidewatch.rules import NOTEBOOK_RULES, STRICT_GATE, catalogue_frame
-from tidewatch.schemas import FACT_SCHEMA, conform
+from tidewatch.schemas import FACT_SCHEMA, SKETCHES, conform
 from tidewatch.session import scratch_dir, tune
 from tidewatch.sources import activity as feed
 from tidewatch.sources.curated import FACT, METRICS, QUARANTINE, CuratedStore
@@ -262,12 +263,37 @@ def metrics_1m_exact(spark, sf_dir):
 
 @query
 def metrics_1m_approx(spark, sf_dir):
-    """The sketched counts, each as whether it lies within 15 %, three standard errors, of the exact one."""
-    exact = {"unique_actors": "actor_id", "unique_source_ips": "source_ip"}
-    counted = tuple(F.count_distinct(column).alias(f"exact_{name}") for name, column in exact.items())
-    both = security_metrics(_fact(spark, sf_dir), extra=counted)
-    close = {name: F.abs(F.col(name) - F.col(f"exact_{name}")) <= F.greatest(F.lit(0.5), 0.15 * F.col(f"exact_{name}")) for name in exact}
-    return both.withColumns(close).drop(*(f"exact_{name}" for name in exact))
+    """The counts that the sketches give."""
+    return security_metrics(_fact(spark, sf_dir))
+
+
+def _hour() -> Column:
+    return F.date_trunc("hour", "window_start").alias("hour")
+
+
+@query
+def hourly_actors_sketched(spark, sf_dir):
+    """Actors and addresses per hour and event type from the sketches of the minutes, and how far they are from the exact numbers."""
+    fact = _fact(spark, sf_dir)
+    united = sketched_actors(security_metrics(fact, keep_sketches=True), _hour(), "event_type")
+    exact = fact.groupBy(F.date_trunc("hour", "event_timestamp").alias("hour"), "event_type").agg(F.count_distinct("actor_id").alias("exact"))
+    error = F.abs(F.col("unique_actors") - F.col("exact")) / F.col("exact")
+    return united.join(exact, ["hour", "event_type"]).select("hour", "event_type", "unique_actors", "unique_source_ips", error.alias("actors_error"))
+
+
+@query
+def distinct_rollup(spark, sf_dir):
+    """Exact distinct actors per hour, and of the whole matrix, added up from bitmaps of the minutes. A null hour is the whole time."""
+    base, fact = scratch_dir(spark, "distinct"), _fact(spark, sf_dir)
+    extended_dictionary(fact.select("actor_id")).write.parquet(f"{base}/actors")
+    minute = F.window("event_timestamp", "1 minute")["start"].alias("window_start")
+    sets = distinct_sets(fact, [minute, "event_type", "target_system"], "actor_id", spark.read.parquet(f"{base}/actors"))
+    hours = merged_sets(sets, _hour(), "event_type", "target_system")
+    hours.write.parquet(f"{base}/hours")
+    hours = spark.read.parquet(f"{base}/hours")
+    keys = ("event_type", "target_system")
+    cells = set_sizes(merged_sets(hours, *keys), *keys, name="unique_actors").withColumn("hour", F.lit(None).cast("timestamp"))
+    return set_sizes(hours, "hour", *keys, name="unique_actors").unionByName(cells)
 
 
 def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -610,7 +636,4 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_metrics(spark, sf_dir):
     store = _run_to_end(start_metrics, spark, sf_dir)
-    # The distinct counts are sketches here; the exact ones are in metrics_1m_exact.
-    return current_metrics(store.read(METRICS)).drop(
-        "unique_actors", "unique_source_ips", "event_date", "batch_key", "batch_id", "written_at"
-    )
+    return current_metrics(store.read(METRICS)).drop(*SKETCHES, "event_date", "batch_key", "batch_id", "written_at")

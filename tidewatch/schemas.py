@@ -104,6 +104,8 @@ AGGREGATE_SCHEMA = _struct(
     max_severity_rank=INT,
     batch_id=LONG,
 )
+# Sketches kept with the stored minutes: name to (event column, count column).
+SKETCHES = {"actors_sketch": ("actor_id", "unique_actors"), "source_ips_sketch": ("source_ip", "unique_source_ips")}
 METRIC_KEYS = ("window_start", "window_end", "event_type", "target_system", "source_country")
 
 THREAT_SCHEMA = _struct(

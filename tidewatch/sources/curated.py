@@ -9,9 +9,9 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BinaryType, DateType, StringType, StructField, StructType, TimestampType
 
-from tidewatch.schemas import AGGREGATE_SCHEMA, FACT_SCHEMA, INSIGHT_SCHEMA, conform
+from tidewatch.schemas import AGGREGATE_SCHEMA, FACT_SCHEMA, INSIGHT_SCHEMA, SKETCHES, conform
 
 FACT = "fact_security_events"
 QUARANTINE = "error_security_events"
@@ -35,11 +35,16 @@ WRITTEN_AT = "written_at"
 LAYERS = ("raw", "curated", "marts")
 
 
+def _beside(table: str) -> list[StructField]:
+    """Columns stored with a table beside its own: when a metric row was written, and its mergeable sketches."""
+    return [*(StructField(name, BinaryType()) for name in SKETCHES), StructField(WRITTEN_AT, TimestampType())] if table == METRICS else []
+
+
 def stored_schema(table: str) -> StructType:
     """Table columns plus the partition columns it is stored by."""
     fields = list(TABLE_SCHEMAS[table].fields)
     if table in DATE_SOURCE:
-        fields += [StructField(WRITTEN_AT, TimestampType())] if table == METRICS else []
+        fields += _beside(table)
         fields += [StructField(BATCH_KEY, StringType()), StructField(EVENT_DATE, DateType())]
     return StructType(fields)
 
@@ -103,7 +108,8 @@ class CuratedStore:
     def append(self, table: str, rows: DataFrame, batch_id: int | None = None, batch_key: str | None = None) -> None:
         """Write one batch. The same ``batch_key`` again replaces the rows of the earlier attempt."""
         rows = rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id))
-        shaped = conform(rows, TABLE_SCHEMAS[table])
+        own = TABLE_SCHEMAS[table].fields
+        shaped = conform(rows, StructType([*own, *(f for f in _beside(table) if f.name != WRITTEN_AT)]))
         if table not in DATE_SOURCE:
             shaped.write.mode("append").parquet(self.path(table))
             return

@@ -16,6 +16,7 @@ from tidewatch.operators.detect import flag_threats
 from tidewatch.operators.metrics import security_metrics
 from tidewatch.operators.quality import clean_events, quarantined_events, valid_events
 from tidewatch.rules import STANDARD_GATE, STANDARD_RULES, DetectionRules, QualityRules
+from tidewatch.schemas import SKETCHES
 from tidewatch.sources.curated import BATCH_KEY, EVENT_DATE, FACT, METRICS, QUARANTINE, CuratedStore
 
 log = logging.getLogger(__name__)
@@ -51,7 +52,7 @@ def unique_events(events: DataFrame, config: PipelineConfig) -> DataFrame:
 
 def stream_metrics(enriched: DataFrame, config: PipelineConfig) -> DataFrame:
     """One-minute metrics of the valid, de-duplicated stream."""
-    return security_metrics(unique_events(valid_events(enriched), config))
+    return security_metrics(unique_events(valid_events(enriched), config), keep_sketches=True)
 
 
 @contextmanager
@@ -153,7 +154,7 @@ def start_metrics(enriched: DataFrame, store: CuratedStore, config: PipelineConf
 def start_console(enriched: DataFrame, config: PipelineConfig) -> StreamingQuery:
     """Metrics to the console, untruncated."""
     return (
-        stream_metrics(enriched, config)
+        stream_metrics(enriched, config).drop(*SKETCHES)
         .writeStream.queryName("security_metrics_console")
         .format("console")
         .outputMode("update")
