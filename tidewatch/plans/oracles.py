@@ -558,6 +558,11 @@ gated AS (
               WHERE e.ts < {TRIAGED_UNTIL})""",
             feed=REPLAYED,
         ),
+        "triage_job": _sql("SELECT * FROM insights", SCORING),
+        "curated_tables": _sql(
+            "SELECT 'fact_security_events' AS table_name, count(*) AS n_rows, count(DISTINCT CAST(event_timestamp AS DATE)) AS n_days FROM fact "
+            "UNION ALL SELECT 'error_security_events', count(*), count(DISTINCT CAST(event_timestamp AS DATE)) FROM quarantine"
+        ),
         "newest_insights": _sql(
             """SELECT * FROM (SELECT * FROM triaged UNION ALL SELECT * FROM insights)
             ORDER BY generated_at DESC, event_timestamp DESC NULLS LAST, event_id, threat_reason LIMIT 20""",

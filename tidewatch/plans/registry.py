@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import datetime
 
 import pyarrow as pa
@@ -15,11 +17,13 @@ from tidewatch.operators.detect import enrich_from_catalogue, flag_threats
 from tidewatch.operators.lateness import mark_late
 from tidewatch.operators.distinct import distinct_sets, extended_dictionary, merged_sets, set_sizes
 from tidewatch.operators.metrics import current_metrics, security_metrics, sketched_actors
+from tidewatch.plans.mart_views import triage_store
 from tidewatch.rules import NOTEBOOK_RULES, STRICT_GATE, catalogue_frame
 from tidewatch.schemas import FACT_SCHEMA, SKETCHES, conform
 from tidewatch.session import scratch_dir, tune
 from tidewatch.sources import activity as feed
-from tidewatch.sources.curated import FACT, METRICS, QUARANTINE, CuratedStore
+from tidewatch.sources.commits import CommitConflict
+from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, QUARANTINE, CuratedStore, create_curated_tables, recover_partitions
 from tidewatch.sources.evidence_files import load_evidence
 from tidewatch.sources.messages import decode_messages, keyed_messages
 from tidewatch.streaming.pipeline import PipelineConfig, enrich, start_events, start_metrics
@@ -437,6 +441,38 @@ def insight_upsert(spark, sf_dir):
     return added.select("insight_id", "event_id", "event_timestamp", "threat_reason", "risk_score")
 
 
+def _filled_store(spark: SparkSession, sf_dir: str) -> CuratedStore:
+    """A store that got the whole feed in two commits."""
+    store = CuratedStore(spark, f"{scratch_dir(spark, 'store')}/curated")
+    enriched = _enriched(spark, sf_dir)
+    early = F.coalesce(F.col("event_timestamp") < F.lit(TRIAGED_UNTIL).cast("timestamp"), F.lit(True))
+    for number, rows in enumerate((enriched.filter(early), enriched.filter(~early))):
+        store.commit({FACT: quality.valid_events(rows), QUARANTINE: quality.quarantined_events(rows)}, number)
+    return store
+
+
+@query
+def triage_job(spark, sf_dir):
+    """The insights after the job ran on a store, ran again, and a job that had read the store before both of them tried to commit."""
+    store = _filled_store(spark, sf_dir)
+    stale = store.log.version()
+    triage_store(store, limit=None, as_of=AS_OF)
+    triage_store(store, limit=None, as_of=AS_OF)
+    with suppress(CommitConflict):
+        store.append(INSIGHTS, _insights(spark, sf_dir), after=stale)
+    return store.read(INSIGHTS).drop("batch_key")
+
+
+@query
+def curated_tables(spark, sf_dir):
+    """Rows and days of the declared tables by SQL, in a database of their own."""
+    store, database = _filled_store(spark, sf_dir), f"curated_{uuid.uuid4().hex}"
+    create_curated_tables(spark, database, store.location)
+    recover_partitions(store, database)
+    counts = [f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT event_date) AS n_days FROM {database}.{t}" for t in (FACT, QUARANTINE)]
+    return spark.sql(" UNION ALL ".join(counts))
+
+
 @query
 def newest_insights(spark, sf_dir):
     both = _triaged(spark, sf_dir).unionByName(_insights(spark, sf_dir))

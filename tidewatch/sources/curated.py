@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DateType, StringType, StructField, StructType, TimestampType
 
 from tidewatch.schemas import AGGREGATE_SCHEMA, FACT_SCHEMA, INSIGHT_SCHEMA, SKETCHES, conform
+from tidewatch.sources.commits import CommitLog, Part, overlapping
 
 FACT = "fact_security_events"
 QUARANTINE = "error_security_events"
@@ -27,9 +28,20 @@ TABLE_SCHEMAS: dict[str, StructType] = {
 # The time that gives a row its date partition; insights are looked up by id and stay unpartitioned.
 DATE_SOURCE = {FACT: "event_timestamp", QUARANTINE: "event_timestamp", METRICS: "window_start"}
 EVENT_DATE, BATCH_KEY = "event_date", "batch_key"
-# The batch comes first: what a batch wrote is one folder, replaced as a whole when the batch is repeated.
-PARTITION_COLUMNS = (BATCH_KEY, EVENT_DATE)
 WRITTEN_AT = "written_at"
+# Event time and storage time, whose bounds the manifests keep.
+TIMES = {
+    FACT: ("event_timestamp", "ingestion_timestamp"),
+    QUARANTINE: ("event_timestamp", "ingestion_timestamp"),
+    METRICS: ("window_start", WRITTEN_AT),
+    INSIGHTS: ("event_timestamp", "generated_at"),
+}
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_columns(table: str) -> tuple[str, ...]:
+    """The batch comes first: what an attempt wrote is one folder."""
+    return (BATCH_KEY, EVENT_DATE) if table in DATE_SOURCE else (BATCH_KEY,)
 
 # Layers: raw stays empty until a job lands undecoded messages there.
 LAYERS = ("raw", "curated", "marts")
@@ -43,9 +55,9 @@ def _beside(table: str) -> list[StructField]:
 def stored_schema(table: str) -> StructType:
     """Table columns plus the partition columns it is stored by."""
     fields = list(TABLE_SCHEMAS[table].fields)
+    fields += [*_beside(table), StructField(BATCH_KEY, StringType())]
     if table in DATE_SOURCE:
-        fields += _beside(table)
-        fields += [StructField(BATCH_KEY, StringType()), StructField(EVENT_DATE, DateType())]
+        fields.append(StructField(EVENT_DATE, DateType()))
     return StructType(fields)
 
 
@@ -59,85 +71,127 @@ def create_curated_tables(spark: SparkSession, database: str, location: str) ->
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in TABLE_SCHEMAS:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored_schema(table).fields)
-        partitioning = f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})" if table in DATE_SOURCE else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) "
-            f"USING parquet {partitioning} LOCATION '{location}/{table}'"
+            f"USING parquet PARTITIONED BY ({', '.join(partition_columns(table))}) LOCATION '{location}/{table}'"
         )
-        if table in DATE_SOURCE:
-            # The folder has to exist before partitions can be looked for in it.
-            nothing = spark.createDataFrame([], stored_schema(table))
-            nothing.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(f"{location}/{table}")
 
 
-def recover_partitions(spark: SparkSession, database: str) -> None:
-    """Make the partitions written since the last call visible to SQL on the declared tables."""
-    for table in DATE_SOURCE:
-        spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
+def recover_partitions(store: CuratedStore, database: str) -> None:
+    """Make what the store holds by now visible to SQL on the declared tables, and to views on them: parts come and go with the commits."""
+    spark = store.spark
+
+    def spec(batch_key: str, day: date | None, table: str) -> str:
+        dated = f", {EVENT_DATE} = {'NULL' if day is None else f"DATE '{day}'"}" if table in DATE_SOURCE else ""
+        return f"PARTITION ({BATCH_KEY} = '{batch_key}'{dated})"
+
+    for table in TABLE_SCHEMAS:
+        known = spark.sql(f"SHOW PARTITIONS {database}.{table}").collect()
+        shown = {}
+        for (text,) in known:
+            values = dict(item.split("=", 1) for item in text.split("/"))
+            day = values.get(EVENT_DATE)
+            key = (values[BATCH_KEY], None if day in (None, "null", NO_DATE) else date.fromisoformat(day))
+            shown[key] = spark.sql(f"DESCRIBE EXTENDED {database}.{table} {spec(*key, table)}").filter("col_name = 'Location'").first()[1]
+        held = {(p.batch_key, p.event_date): p.folder for p in store.log.parts(table).collect()}
+        for key, location in shown.items():
+            if not location.endswith(held.get(key, "?")):
+                spark.sql(f"ALTER TABLE {database}.{table} DROP IF EXISTS {spec(*key, table)}")
+        for key, folder in held.items():
+            spark.sql(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS {spec(*key, table)} LOCATION '{store.path(table)}/{folder}'")
 
 
 @dataclass(frozen=True)
 class CuratedStore:
     """The curated tables below one shared folder.
 
-    Event tables are partitioned by the batch that wrote them, so that repeating a batch replaces exactly
-    what its first attempt wrote, and by event date, so that last-hour filters prune.
+    A commit (see ``commits``) makes the rows of one or several tables visible at once; repeating a batch replaces exactly what
+    its first attempt committed. Event tables are partitioned by batch and event date. Reading asks the manifests, not the
+    folders, and skips parts by date and by the bounds of event and storage time.
     """
 
     spark: SparkSession
     location: str
 
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.location}/commits")
+
     def path(self, table: str) -> str:
         return f"{self.location}/{table}"
 
-    def read(self, table: str, dates: Sequence[date] | None = None) -> DataFrame:
-        """The table with its partition columns, or only the given event dates; empty before the first write.
-
-        With ``dates`` only the folders of those dates are listed, not the whole table.
+    def read(
+        self,
+        table: str,
+        dates: Iterable[date] | None = None,
+        events: tuple[datetime | None, datetime | None] | None = None,
+        stored: tuple[datetime | None, datetime | None] | None = None,
+        version: int | None = None,
+        without_batch: str | None = None,
+    ) -> DataFrame:
+        """The table with its partition columns, as of now or of a ``version``; empty before the first commit.
+
+        ``dates``, ``events`` and ``stored`` (first and last time, either may be open) leave out parts that hold nothing of the kind;
+        the rows of the other parts are all returned.
         """
-        schema, path = stored_schema(table), self.path(table)
+        schema, parts = stored_schema(table), self.log.parts(table, version)
         if dates is not None:
-            path = f"{path}/{BATCH_KEY}=*/{EVENT_DATE}={{{','.join(d.isoformat() for d in dates)}}}"
-        try:
-            return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+            parts = parts.filter(F.col("event_date").isin(list(dates)))
+        if events is not None:
+            parts = parts.filter(overlapping("first_event", "last_event", *events))
+        if stored is not None:
+            parts = parts.filter(overlapping("first_stored", "last_stored", *stored))
+        if without_batch is not None:
+            parts = parts.filter(F.col("batch_key") != without_batch)
+        folders = [f"{self.path(table)}/{p.folder}" for p in parts.select("folder").distinct().collect()]
+        if not folders:
             return self.spark.createDataFrame([], schema)
+        # The attempt's folder shows up as one more partition column.
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders).select(*schema.names)
 
-    def append(self, table: str, rows: DataFrame, batch_id: int | None = None, batch_key: str | None = None) -> None:
-        """Write one batch. The same ``batch_key`` again replaces the rows of the earlier attempt."""
+    def write(self, table: str, rows: DataFrame, batch_key: str, batch_id: int | None = None) -> list[Part]:
+        """Write rows to a folder of their own; they belong to the table once their parts are committed."""
         rows = rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id))
         own = TABLE_SCHEMAS[table].fields
         shaped = conform(rows, StructType([*own, *(f for f in _beside(table) if f.name != WRITTEN_AT)]))
-        if table not in DATE_SOURCE:
-            shaped.write.mode("append").parquet(self.path(table))
-            return
-        dated = shaped.withColumn(EVENT_DATE, F.to_date(DATE_SOURCE[table]))
-        if table == METRICS:
-            dated = dated.withColumn(WRITTEN_AT, F.current_timestamp())
-        # Rows of a date come together, and adaptive execution splits a large date.
-        spread = dated.hint("rebalance", EVENT_DATE)
-        (
-            spread.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(EVENT_DATE)
-            .parquet(f"{self.path(table)}/{BATCH_KEY}={batch_key or f'batch-{batch_id}'}")
-        )
+        folder = f"{BATCH_KEY}={batch_key}/run={uuid.uuid4().hex}"
+        dated = table in DATE_SOURCE
+        if dated:
+            shaped = shaped.withColumn(EVENT_DATE, F.to_date(DATE_SOURCE[table]))
+            if table == METRICS:
+                shaped = shaped.withColumn(WRITTEN_AT, F.current_timestamp())
+            # Rows of a date come together, and adaptive execution splits a large date.
+            shaped.hint("rebalance", EVENT_DATE).write.partitionBy(EVENT_DATE).parquet(f"{self.path(table)}/{folder}")
+        else:
+            shaped.write.parquet(f"{self.path(table)}/{folder}")
+        return self._written(table, folder, batch_key)
+
+    def _written(self, table: str, folder: str, batch_key: str) -> list[Part]:
+        event, stored = TIMES[table]
+        rows = self.spark.read.schema(stored_schema(table)).parquet(f"{self.path(table)}/{folder}")
+        day = F.col(EVENT_DATE) if table in DATE_SOURCE else F.lit(None).cast("date").alias(EVENT_DATE)
+        bounds = [f(c).cast("string") for c in (event, stored) for f in (F.min, F.max)]
+        parts = []
+        for day, n, *times in rows.groupBy(day).agg(F.count("*"), *bounds).collect():
+            below = f"/{EVENT_DATE}={day or NO_DATE}" if table in DATE_SOURCE else ""
+            parts.append(Part(table, folder + below, batch_key, day, n, *times))
+        return parts
+
+    def commit(self, tables: Mapping[str, DataFrame], batch_id: int | None = None, batch_key: str | None = None, after: int | None = None) -> int:
+        """Write one batch of several tables and make it visible as a whole. The same ``batch_key`` again replaces the earlier attempt."""
+        key = batch_key or (f"batch-{batch_id}" if batch_id is not None else f"run-{uuid.uuid4().hex}")
+        parts = [part for table, rows in tables.items() for part in self.write(table, rows, key, batch_id)]
+        return self.log.commit(key, parts, after=after)
+
+    def append(self, table: str, rows: DataFrame, batch_id: int | None = None, batch_key: str | None = None, after: int | None = None) -> int:
+        """``commit`` of one table."""
+        return self.commit({table: rows}, batch_id, batch_key, after)
 
     def compact(self, table: str, batch_key: str) -> None:
-        """Gather all batches of an event table into the one named ``batch_key``, then drop the others.
+        """Gather all batches of a table into the one named ``batch_key``; a commit to it in between is an error and leaves all as it was.
 
-        For use while no stream writes to the store. The rows keep their batch ids.
+        Do not repeat a batch from before afterwards: it would be there twice. Files stay for those who read an earlier version.
         """
-        spark, root = self.spark, self.path(table)
-        rows = self.read(table)
-        old = [f.rsplit(f"/{EVENT_DATE}=", 1)[0] for f in rows.inputFiles()]
-        if any(f.endswith(f"{BATCH_KEY}={batch_key}") for f in old):
-            raise ValueError(f"{batch_key} is among the batches to gather")
-        rows.drop(BATCH_KEY).hint("rebalance", EVENT_DATE).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            EVENT_DATE
-        ).parquet(f"{root}/{BATCH_KEY}={batch_key}")
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        for folder in set(old):
-            path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(folder), True)
+        version = self.log.version()
+        parts = self.write(table, self.read(table, version=version).drop(BATCH_KEY), batch_key)
+        self.log.commit(batch_key, parts, clears=[table], after=version)

@@ -17,7 +17,7 @@ from tidewatch.operators.metrics import security_metrics
 from tidewatch.operators.quality import clean_events, quarantined_events, valid_events
 from tidewatch.rules import STANDARD_GATE, STANDARD_RULES, DetectionRules, QualityRules
 from tidewatch.schemas import SKETCHES
-from tidewatch.sources.curated import BATCH_KEY, EVENT_DATE, FACT, METRICS, QUARANTINE, CuratedStore
+from tidewatch.sources.curated import EVENT_DATE, FACT, METRICS, QUARANTINE, CuratedStore
 
 log = logging.getLogger(__name__)
 
@@ -74,15 +74,20 @@ def _batch_key(batch: DataFrame, batch_id: int) -> str:
 def _unseen(batch: DataFrame, store: CuratedStore, batch_key: str) -> DataFrame:
     """Rows of the batch whose key no earlier batch has stored as fact or quarantine.
 
-    Equal keys have equal event times, so the look-back joins two columns of the stored rows to the batch's
-    span of times on each date: the dates prune the folders that are read. Rows stored by a first attempt at this same
+    Equal keys have equal event times, so the look-back reads two columns of the parts whose dates and event times overlap those of the
+    batch, by their manifests. Rows stored by a first attempt at this same
     batch do not count: they are about to be replaced. The optimizer chooses between shuffle and broadcast by size.
     """
     day = F.to_date("event_timestamp").alias(EVENT_DATE)
-    spans = keyed_rows(batch).groupBy(day).agg(F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"))
-    keys = [store.read(table).select(*EVENT_KEY, BATCH_KEY, EVENT_DATE) for table in (FACT, QUARANTINE)]
-    stored = keys[0].unionAll(keys[1]).filter(F.col(BATCH_KEY) != batch_key).join(spans, EVENT_DATE)
-    return without_match(batch, stored.filter(F.col("event_timestamp").between(F.col("_first"), F.col("_last"))), *EVENT_KEY)
+    spans = keyed_rows(batch).groupBy(day).agg(F.min("event_timestamp"), F.max("event_timestamp")).collect()
+    if not spans:
+        return batch
+    first, last = min(s[1] for s in spans), max(s[2] for s in spans)
+    keys = [
+        store.read(table, [s[0] for s in spans], (first, last), without_batch=batch_key).select(*EVENT_KEY) for table in (FACT, QUARANTINE)
+    ]
+    stored = keys[0].unionAll(keys[1]).filter(F.col("event_timestamp").between(F.lit(first), F.lit(last)))
+    return without_match(batch, stored, *EVENT_KEY)
 
 
 def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[DataFrame, int], None]:
@@ -97,8 +102,7 @@ def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[Data
         with _cached(batch):
             key = _batch_key(batch, batch_id)
             with _cached(_unseen(dedup_by_key(batch), store, key) if look_back else batch) as rows:
-                store.append(FACT, valid_events(rows), batch_id, key)
-                store.append(QUARANTINE, quarantined_events(rows), batch_id, key)
+                store.commit({FACT: valid_events(rows), QUARANTINE: quarantined_events(rows)}, batch_id, key)
 
     return write
 
