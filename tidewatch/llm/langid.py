@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,6 @@ WORD_PART = 32
 #: Words a worker remembers.
 MEMORY = 200_000
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -39,7 +37,8 @@ def words_of(text: str) -> list[str]:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a character is of a letter category; numerals such as ½ and ² are not."""
+    return any(map(str.isalpha, text or ""))
 
 
 def _points(words: list[str], width: int) -> np.ndarray:
