@@ -21,8 +21,8 @@ ENDING = b"\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 #: Records of an archive; a reader holds one archive at a time.
 ARCHIVE_RECORDS = 2000
-#: A member must inflate to less than this, or it counts as damaged.
-MEMBER_LIMIT = 1 << 30
+#: Bytes that are handed to the inflater at a time.
+CHUNK = 1 << 16
 #: Copies of the "newest page of a payload" table that a much repeated payload is dealt over.
 SALTS = 64
 DATE = "2024-01-01T00:00:00Z"
@@ -107,14 +107,18 @@ def payload_of(block: bytes) -> bytes:
 
 def inflate(raw: bytes, at: int) -> tuple[bytes, int]:
     """(content, end) of the gzip member at ``at``; Damaged if it does not inflate, ends early or fails its checksum."""
-    unpacker = zlib.decompressobj(31)
-    try:
-        content = unpacker.decompress(memoryview(raw)[at:], MEMBER_LIMIT)
-    except zlib.error as error:
-        raise Damaged(str(error)) from error
+    unpacker, view, parts = zlib.decompressobj(31), memoryview(raw), []
+    # In chunks: what a member leaves unused is copied, and must not be the rest of the archive.
+    while not unpacker.eof and at < len(raw):
+        chunk = view[at : at + CHUNK]
+        try:
+            parts.append(unpacker.decompress(chunk))
+        except zlib.error as error:
+            raise Damaged(str(error)) from error
+        at += len(chunk)
     if not unpacker.eof:
         raise Damaged("member does not end")
-    return content, len(raw) - len(unpacker.unused_data)
+    return b"".join(parts), at - len(unpacker.unused_data)
 
 
 def salvage(raw: bytes) -> Salvaged:
