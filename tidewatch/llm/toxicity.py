@@ -328,12 +328,14 @@ def score_terms(counted: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns kept, that ``score`` does not predict to be toxic. A missing text stays."""
+    """The rows of ``docs``, all columns kept, that ``score`` does not predict to be toxic. A missing text stays, and so does everything if the labels are not of both kinds."""
+    if len(set(model.index.labels.tolist())) < 2:
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Forms(model.terms)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).cast(pa.string()).to_pylist()
-            yield batch.filter(pa.array([model.score(term_counts(t, cache, model.terms))[0] < THRESHOLD for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([t is None or model.score(term_counts(t, cache, model.terms))[0] < THRESHOLD for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
