@@ -16,8 +16,6 @@ CONTAINMENT = 0.8
 #: Hash functions. A window has twice the length of its items' size class or less than four times theirs, so an item with containment 0.8 agrees with it in
 #: each minimum with a chance of 0.2 or more; all 32 miss with a chance below 0.001.
 FUNCTIONS = 32
-#: Shingles of the smallest size class.
-SMALLEST = 8
 #: Characters of items that are indexed at a time. More items take more passes over the documents, not more memory.
 BLOCK_CHARS = 50_000_000
 #: Words a worker remembers.
@@ -72,8 +70,7 @@ def signatures(hashes: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.n
 
     Any ``size`` shingles in a row lie within one window.
     """
-    minima = _halved(_halved(_halved((hashes ^ _SALTS[:, None]) * _FACTORS[:, None])))
-    size = SMALLEST
+    minima, size = (hashes ^ _SALTS[:, None]) * _FACTORS[:, None], 1
     while True:
         if size in sizes:
             yield size, np.minimum(minima[:, :-1], minima[:, 1:]) if minima.shape[1] > 1 else minima
@@ -99,7 +96,7 @@ class Index:
         widths = [min(SHINGLE_WORDS, len(w)) for _, w in rows]
         for place, ((_, words), width) in enumerate(zip(rows, widths)):
             h = shingle_hashes(np.array([hashes[w] for w in words], np.uint64), width)
-            size = max(SMALLEST, 1 << (len(h) - 1).bit_length())
+            size = 1 << (len(h) - 1).bit_length()
             minima = ((h ^ _SALTS[:, None]) * _FACTORS[:, None]).min(axis=1)
             gathered.setdefault((width, size), []).append((cls.mixed(minima), np.full(FUNCTIONS, place)))
         keys = {}
