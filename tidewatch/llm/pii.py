@@ -26,10 +26,10 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 #: Candidate spans, beyond the base ones: anything shaped like an address, a number to reach someone by, or a credential.
 CANDIDATE = "|".join([
     rf"(?<!{LOCAL}){LOCAL}++@[A-Za-z0-9][A-Za-z0-9.-]*+",
-    r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?[^\s\"',;]{6,64}",
+    r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?[^\s\"',;]{6,}+",
     r"(?<![A-Za-z0-9])[A-Z]{4}[0-9A-Z]{16}(?![A-Za-z0-9])",
-    r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
-    r"(?<![0-9A-Za-z.+])\+?\(?[0-9][0-9 ().-]{7,28}[0-9](?![0-9A-Za-z])",
+    r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",
+    r"(?<![0-9A-Za-z.+])\+?\(?[0-9][0-9 ().-]{7,}[0-9](?![0-9A-Za-z])",
 ])
 TRIGGER = r"[0-9@=:]"
 EXTRA_KINDS = ("email", "number", "secret")
