@@ -12,7 +12,7 @@ from tidewatch.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # These run their job while the query is built, or stage files for it.
-STAGED = {"stream_fact_quarantine", "stream_dedup", "stream_metrics", "triage_job", "curated_tables", "distinct_rollup", "evidence_csv", "evidence_json", "evidence_jsonl"}
+STAGED = {"stream_fact_quarantine", "stream_dedup", "stream_metrics", "stream_progress", "triage_job", "curated_tables", "distinct_rollup", "evidence_csv", "evidence_json", "evidence_jsonl"}
 
 
 def _plan(df) -> str:

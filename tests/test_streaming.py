@@ -14,6 +14,7 @@ from tidewatch.operators.dedup import dedup_by_id, dedup_by_key
 from tidewatch.plans.mart_views import register_marts, triage_store
 from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, QUARANTINE, CuratedStore
 from tidewatch.sources.messages import decode_messages, read_kafka_stream
+from tidewatch.streaming.progress import ProgressLog
 from tidewatch.streaming.pipeline import (
     PipelineConfig,
     connector_writer,
@@ -213,6 +214,33 @@ def test_supervise_raises_the_failure(spark, log, config):
         supervise([query], poll_seconds=1)
 
 
+def test_progress_of_queries(spark, log, config, tmp_path):
+    """One row per micro-batch with the late rows it dropped; a failed run is named; nothing is noted after detaching."""
+    add, stream = log
+    store = CuratedStore(spark, str(tmp_path / "curated"))
+    progress = ProgressLog(spark, str(tmp_path / "progress")).attach()
+    assert progress.frame().count() == 0
+    for lines in BATCHES:
+        add(lines)
+        query = start_metrics(enrich(stream(), config), store, config)
+        supervise([query], poll_seconds=1, progress=progress)
+        assert progress.wait_for(query.runId)
+
+    def fail(batch, batch_id):
+        raise ValueError("sink is down")
+
+    broken = stream().writeStream.foreachBatch(fail).option("checkpointLocation", f"{config.checkpoint_base}/broken").start()
+    with pytest.raises(Exception, match="sink is down"):
+        supervise([broken], poll_seconds=1, progress=progress)
+    assert progress.wait_for(broken.runId)
+    progress.detach()
+    rows = progress.frame().filter("name = 'security_metrics' AND input_rows > 0").orderBy("batch_id").collect()
+    assert [r.dropped_late_rows for r in rows] == [0, 0, 1] and len({r.query_id for r in rows}) == 1 and len({r.run_id for r in rows}) == 3
+    assert all(r.state_rows > 0 and r.batch_ms > 0 for r in rows)
+    (failure,) = progress.failures()
+    assert failure[0] == str(broken.id) and "sink is down" in failure[1]
+
+
 def test_console_and_connector_sinks(spark, log, config, tmp_path):
     add, stream = log
     add(BATCHES[0])

@@ -44,9 +44,11 @@ def dedup_by_key(events: DataFrame, watermark_delay: str = "10 minutes", salts:
     with ``salts`` above one, repeats are dropped per (key, salt) first, so that the copies of one event
     meet in that many tasks instead of one, at the price of a second state.
     """
-    keyed, unkeyed = keyed_rows(events), events.filter(~_has_key(*EVENT_KEY))
     if not events.isStreaming:
-        return first_per_key(keyed, EVENT_KEY, "ingestion_timestamp").unionByName(unkeyed)
+        # Rows without a key get a number of their own, so that one pass over the input does for both kinds.
+        alone = events.withColumn("_alone", F.when(~_has_key(*EVENT_KEY), F.monotonically_increasing_id()))
+        return first_per_key(alone, [*EVENT_KEY, "_alone"], "ingestion_timestamp").drop("_alone")
+    keyed, unkeyed = keyed_rows(events), events.filter(~_has_key(*EVENT_KEY))
     unique = keyed.withWatermark(EVENT_TIME, watermark_delay)
     if salts > 1:
         # Copies differ in their source position, so their row hashes do.

@@ -607,6 +607,12 @@ gated AS (
         "text_evidence_profile": _profile(TEXT_EVIDENCE, "order_amount;quantity;sales_channel;category;is_anomaly"),
         "stream_fact_quarantine": stream_feed + _STORED,
         "stream_dedup": _with(*_BASE, _on_time("enriched"), feed=REPLAYED) + _STORED.replace("FROM enriched", "FROM on_time"),
+        "stream_progress": _sql(
+            "SELECT 'security_metrics' AS name, (SELECT count(DISTINCT slice) FROM arrived) AS batches, "
+            "(SELECT count(*) FROM arrived JOIN slices USING (slice) WHERE event_timestamp <= watermark) AS dropped_late_rows",
+            _on_time("fact"),
+            feed=REPLAYED,
+        ),
         "stream_metrics": _sql(
             "SELECT * FROM metrics",
             _on_time("fact"),

@@ -27,6 +27,7 @@ from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, QUARANTINE, Curat
 from tidewatch.sources.evidence_files import load_evidence
 from tidewatch.sources.messages import decode_messages, keyed_messages
 from tidewatch.streaming.pipeline import PipelineConfig, enrich, start_events, start_metrics
+from tidewatch.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -640,7 +641,7 @@ def _arrival_slice():
     return F.least(F.lit(len(SLICES)), own + (F.col("event_id") % 23 == 0).cast("int"))
 
 
-def _run_to_end(start, spark: SparkSession, sf_dir: str, look_back: bool = True) -> CuratedStore:
+def _run_to_end(start, spark: SparkSession, sf_dir: str, look_back: bool = True, progress: ProgressLog | None = None) -> CuratedStore:
     """Run a stream over the replayed activity feed, whole, as it grows by a slice at a time; one checkpoint for all."""
     base = scratch_dir(spark, "stream")
     config = PipelineConfig(f"{base}/checkpoints", trigger={"availableNow": True}, look_back=look_back)
@@ -649,10 +650,26 @@ def _run_to_end(start, spark: SparkSession, sf_dir: str, look_back: bool = True)
     for number in range(len(SLICES) + 1):
         arriving.filter(F.col("_slice") == number).drop("_slice").write.mode("append").parquet(f"{base}/feed")
         stream = spark.readStream.schema(arriving.drop("_slice").schema).parquet(f"{base}/feed")
-        start(enrich(feed.security_events(stream), config), store, config).awaitTermination()
+        running = start(enrich(feed.security_events(stream), config), store, config)
+        running.awaitTermination()
+        if progress and not progress.wait_for(running.runId):
+            raise RuntimeError("the end of the query was not reported")
     return store
 
 
+@query
+def stream_progress(spark, sf_dir):
+    """Micro-batches with data, and rows that the watermark dropped, by the reported progress of the metrics query."""
+    log = ProgressLog(spark, f"{scratch_dir(spark, 'progress')}/rows").attach()
+    try:
+        _run_to_end(start_metrics, spark, sf_dir, progress=log)
+    finally:
+        log.detach()
+    return log.frame().groupBy("name").agg(
+        F.count_if(F.col("input_rows") > 0).alias("batches"), F.sum("dropped_late_rows").alias("dropped_late_rows")
+    )
+
+
 def _stored_events(store: CuratedStore) -> DataFrame:
     columns = ("event_id", "event_timestamp", "quality_status", "quality_failure_reason", "threat_reason")
     fact = store.read(FACT).select(F.lit(FACT).alias("table_name"), *columns)

@@ -17,6 +17,7 @@ from tidewatch.operators.metrics import security_metrics
 from tidewatch.operators.quality import clean_events, quarantined_events, valid_events
 from tidewatch.rules import STANDARD_GATE, STANDARD_RULES, DetectionRules, QualityRules
 from tidewatch.schemas import SKETCHES
+from tidewatch.streaming.progress import ProgressLog
 from tidewatch.sources.curated import EVENT_DATE, FACT, METRICS, QUARANTINE, CuratedStore
 
 log = logging.getLogger(__name__)
@@ -177,13 +178,15 @@ def start_pipeline(events: DataFrame, store: CuratedStore | None, config: Pipeli
     return [start_events(enriched, store, config), start_metrics(enriched, store, config)]
 
 
-def supervise(queries: Sequence[StreamingQuery], poll_seconds: int = 15) -> None:
+def supervise(queries: Sequence[StreamingQuery], poll_seconds: int = 15, progress: ProgressLog | None = None) -> None:
     """Wait until every query has ended; raise the failure of the first one that fails.
 
-    Each round waits at most ``poll_seconds`` for one of the running queries, then logs their status.
+    Each round waits at most ``poll_seconds`` for one of the running queries, then logs their status and writes the progress noted so far.
     """
     running = list(queries)
     while running:
+        if progress:
+            progress.flush()
         for query in list(running):
             # Raises the query's own exception if it has failed.
             if query.awaitTermination(poll_seconds / len(running)):
