@@ -7,7 +7,7 @@ from tidewatch.operators.quality import clean_events, quarantined_events
 from tidewatch.schemas import AGGREGATE_SCHEMA, EVENT_SCHEMA, FACT_SCHEMA, INSIGHT_SCHEMA
 from tidewatch.sources import curated
 from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, CuratedStore
-from tidewatch.sources.messages import decode_messages, keyed_messages, order_for_publish
+from tidewatch.sources.messages import decode_messages, keyed_messages, log_partition, ordered_messages
 from tests.conftest import BASE_EVENT
 
 
@@ -40,15 +40,31 @@ def test_keyed_messages(events):
     assert json.loads(rows[2].value) == {**BASE_EVENT, "actor_id": None, "mfa_used": None}
 
 
-def test_publish_order_splits_a_dominant_actor(spark, events):
-    rows = events(*({"event_id": f"{n:04}", "event_time": f"{n:04}"} for n in range(400)))
+def test_log_partitions_are_those_of_the_log(spark):
+    """Published values of the hash."""
+    known = {"21": -973932308, "foobar": -790332482, "a-little-bit-long-string": -985981536, "a-little-bit-longer-string": -1486304829, "abc": 479470107}
+    rows = spark.createDataFrame([(k,) for k in known], "k string").select("k", log_partition(F.col("k"), 1 << 31).alias("p"), log_partition(F.col("k"), 7).alias("q"))
+    assert {r.k: (r.p, r.q) for r in rows.collect()} == {k: (h & 0x7FFFFFFF, (h & 0x7FFFFFFF) % 7) for k, h in known.items()}
+
+
+def test_each_actor_is_published_in_order(spark, events):
+    """A hot actor among others, arriving out of order: one writer a log partition, times in order, the same numbers at a replay."""
+    made = [{"event_id": f"{n:04}", "event_time": f"2031-03-06T{n * 7 % 24:02}:{n % 60:02}:00+00:00", "actor_id": "hot" if n % 3 else f"a{n % 11}"} for n in range(400)]
+    rows = events(*made, {"actor_id": None}, {"actor_id": "", "event_time": None})
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = order_for_publish(rows).select(F.spark_partition_id().alias("p"), "event_time").collect()
+        sent = ordered_messages(rows.repartition(5), 6).select("*", F.spark_partition_id().alias("task"), F.get_json_object("value", "$.event_time").alias("time")).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len({r.p for r in parts}) > 1
-    assert [r.event_time for r in parts] == sorted(r.event_time for r in parts)
+    assert len(sent) == 402 and len({r.partition for r in sent}) > 2
+    for partition in {r.partition for r in sent}:
+        own = [r for r in sent if r.partition == partition]
+        assert len({r.task for r in own}) == 1 and [r.sequence for r in own] == list(range(1, len(own) + 1))
+    for key in {r.key for r in sent}:
+        own = [r for r in sent if r.key == key]
+        assert len({r.partition for r in own}) == 1 and [r.time or "" for r in own] == sorted(r.time or "" for r in own)
+    again = ordered_messages(rows.repartition(3), 6).collect()
+    assert {tuple(r) for r in again} == {tuple(r)[:4] for r in sent}
 
 
 def test_store_reads_empty_and_replaces_a_repeated_batch(spark, processed, tmp_path):

@@ -217,6 +217,17 @@ triaged AS (SELECT * REPLACE (@TRIAGED_UNTIL@ AS generated_at) FROM insights WHE
 """.replace("@AS_OF@", AS_OF).replace("@TRIAGED_UNTIL@", TRIAGED_UNTIL).replace("@THREAT_COLUMNS@", THREAT_COLUMNS)
 
 
+# 32-bit Murmur2 of an ASCII text ``key``; 1540483477 multiplies, 2538058380 is the seed.
+_TIMES = "CAST((CAST({} AS HUGEINT) * 1540483477) % 4294967296 AS BIGINT)"
+_BYTE = "CAST(ascii(substr(key, CAST({} AS INTEGER), 1)) AS BIGINT)"
+_WORDS = "[" + " + ".join(f"({_BYTE.format(f'4 * w + {i + 1}')} << {8 * i})" for i in range(4)) + " FOR w IN range(length(key) // 4)]"
+_MIXED = f"[{_TIMES.format('xor(k, k >> 24)')} FOR k IN [{_TIMES.format('k')} FOR k IN {_WORDS}]]"
+_BODY = f"list_reduce(list_prepend(xor(CAST(2538058380 AS BIGINT), length(key)), {_MIXED}), lambda h, k: xor({_TIMES.format('h')}, k))"
+_TAIL = " + ".join(f"CASE WHEN length(key) % 4 > {i} THEN {_BYTE.format(f'length(key) // 4 * 4 + {i + 1}')} << {8 * i} ELSE 0 END" for i in range(3))
+_TAILED = f"[CASE WHEN length(key) % 4 = 0 THEN h ELSE {_TIMES.format(f'xor(h, {_TAIL})')} END FOR h IN [{_BODY}]]"
+_MURMUR2 = f"[xor(h, h >> 15) FOR h IN [{_TIMES.format('xor(h, h >> 13)')} FOR h IN {_TAILED}]][1]"
+
+
 def _with(*ctes: str, feed: str = PLAIN) -> str:
     return "WITH feed AS (" + feed + "),\n" + ",\n".join(ctes) + "\n"
 
@@ -437,6 +448,10 @@ gated AS (
               - INTERVAL 10 MINUTE AS watermark FROM feed)
           SELECT event_id, ts, watermark, coalesce(ts < watermark, false) AS is_late FROM seen""",
         "keyed_publish": _with(RAW) + f"SELECT coalesce(nullif(actor_id, ''), event_id) AS key, {_JSON} AS value FROM raw",
+        "ordered_publish": _with(RAW) + f"""
+          SELECT key, partition, CAST(row_number() OVER (PARTITION BY partition ORDER BY event_time NULLS FIRST, event_id) AS INTEGER) AS sequence, event_id
+          FROM (SELECT *, CAST(({_MURMUR2}) & 2147483647 AS INTEGER) % 12 AS partition
+                FROM (SELECT event_id, event_time, coalesce(nullif(actor_id, ''), event_id) AS key FROM raw))""",
         "metrics_1m_exact": _sql("SELECT * FROM metrics", _M),
         # Sketches of up to a few hundred values are exact, so the sketched counts have to be the exact ones.
         "metrics_1m_approx": _sql("SELECT * FROM metrics", _M),

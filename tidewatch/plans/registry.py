@@ -25,7 +25,7 @@ from tidewatch.sources import activity as feed
 from tidewatch.sources.commits import CommitConflict
 from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, QUARANTINE, CuratedStore, create_curated_tables, recover_partitions
 from tidewatch.sources.evidence_files import load_evidence
-from tidewatch.sources.messages import decode_messages, keyed_messages
+from tidewatch.sources.messages import decode_messages, keyed_messages, ordered_messages
 from tidewatch.streaming.pipeline import PipelineConfig, enrich, start_events, start_metrics
 from tidewatch.streaming.progress import ProgressLog
 
@@ -258,6 +258,12 @@ def keyed_publish(spark, sf_dir):
     return keyed_messages(_events(spark, sf_dir))
 
 
+@query
+def ordered_publish(spark, sf_dir):
+    """Where and as which each event goes into a log of 12 partitions."""
+    return ordered_messages(_events(spark, sf_dir), 12).select("key", "partition", "sequence", F.get_json_object("value", "$.event_id").alias("event_id"))
+
+
 # --- metrics and marts ------------------------------------------------------------------------------
 
 
