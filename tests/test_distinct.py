@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import distinct
+from tidewatch.operators import distinct, heavy
 from tidewatch.operators.metrics import security_metrics, sketched_actors
 
 
@@ -52,3 +52,21 @@ def test_united_sketches_stay_within_their_error(spark, processed):
     assert minutes.agg(F.sum("unique_actors")).first()[0] > 19_000
     small = security_metrics(rows.filter("id < 300"), keep_sketches=True)
     assert sketched_actors(small, "event_type").first().unique_actors == 300
+
+
+def test_no_heavy_hitter_is_missed(spark):
+    """States far smaller than the number of values, over many minutes: every value above the bound is there, within the stated error."""
+    tracked = 96
+    hot = F.when(F.col("id") % 2 == 0, F.concat(F.lit("hot"), (F.col("id") / 2 % 6).cast("int").cast("string")))
+    rows = spark.range(40_000).select((F.col("id") % 45).alias("minute"), F.coalesce(hot, F.concat(F.lit("rare"), F.col("id").cast("string"))).alias("value"))
+    rows = rows.unionByName(spark.createDataFrame([(1, None)], "minute long, value string"))
+    minutes = heavy.hitter_states(rows.repartition(6), ["minute"], "value", tracked)
+    (combined,) = heavy.combined_states(minutes, F.lit(1).alias("all"), tracked=tracked).collect()
+    whole = heavy.combined_states(minutes, F.floor(F.col("minute") / 10).alias("part"), tracked=tracked)
+    found = {r.value: r["count"] for r in heavy.top_values(heavy.combined_states(whole, tracked=tracked), 20).collect()}
+    exact = {r.value: r["count"] for r in rows.groupBy("value").count().collect()}
+    error = heavy.count_error(40_000, tracked)
+    assert error < 3333 and combined["all"] == 1
+    assert {v for v, n in exact.items() if v and n > error} == {f"hot{i}" for i in range(6)} <= set(found)
+    assert all(abs(found[f"hot{i}"] - exact[f"hot{i}"]) <= error for i in range(6))
+    assert heavy.top_values(heavy.combined_states(heavy.hitter_states(rows.limit(0), ["minute"], "value")), 6).count() == 0

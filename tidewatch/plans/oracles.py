@@ -486,6 +486,10 @@ gated AS (
             """SELECT actor_id, count(*) AS failed_count FROM fact WHERE event_type = 'authentication' AND outcome = 'failure'
             GROUP BY actor_id"""
         ),
+        "failed_auth_hitters": _sql(
+            "SELECT actor_id, count(*) AS failed_count FROM fact WHERE event_type = 'authentication' AND outcome = 'failure' GROUP BY actor_id "
+            "HAVING count(*) >= (SELECT count(actor_id) FROM fact WHERE event_type = 'authentication' AND outcome = 'failure') / 1000.0"
+        ),
         "realtime_kpis": _sql(
             f"""SELECT max(window_end) AS latest_window, CAST(sum(event_count) AS BIGINT) AS events_last_hour,
               CAST(sum(failure_count) AS BIGINT) AS failed_events_last_hour,

@@ -14,6 +14,7 @@ from pyspark.sql.types import TimestampType
 
 from tidewatch.operators import dedup, evidence, marts, quality, rollups, triage
 from tidewatch.operators.detect import enrich_from_catalogue, flag_threats
+from tidewatch.operators.heavy import TRACKED, combined_states, hitter_states, top_values
 from tidewatch.operators.lateness import mark_late
 from tidewatch.operators.distinct import distinct_sets, extended_dictionary, merged_sets, set_sizes
 from tidewatch.operators.metrics import current_metrics, security_metrics, sketched_actors
@@ -367,6 +368,17 @@ def top_failed_auth_actors(spark, sf_dir):
     return rollups.top_failed_auth_actors(_fact(spark, sf_dir))
 
 
+@query
+def failed_auth_hitters(spark, sf_dir):
+    """Actors with at least a thousandth of all failed authentications, from states kept per minute and combined over the whole time."""
+    fact = _fact(spark, sf_dir)
+    failed = fact.filter((F.col("event_type") == "authentication") & (F.col("outcome") == "failure"))
+    minutes = hitter_states(failed, [F.window("event_timestamp", "1 minute")["start"].alias("window_start")], "actor_id")
+    found = top_values(combined_states(combined_states(minutes, _hour())), TRACKED)
+    total = failed.agg(F.count("actor_id").alias("total"))
+    return found.join(F.broadcast(total), F.col("count") >= F.col("total") / 1000).select(F.col("value").alias("actor_id"), F.col("count").alias("failed_count"))
+
+
 @query
 def realtime_kpis(spark, sf_dir):
     return marts.realtime_kpis(current_metrics(_metric_log(spark, sf_dir)), AS_OF)
