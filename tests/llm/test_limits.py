@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF_DIR
-from tidewatch.llm import decontam, langid, pii, toxicity, warc
+from tests.oracle import connect, differences
+from tidewatch.llm import decontam, langid, pii, queries, toxicity, warc
+from tidewatch.llm.sql import ORACLE_SQL
 
 
 @pytest.mark.parametrize("text,letter", [("½", False), ("² ①", False), ("12 ٣ Ⅷ", False), ("_", False), ("½ a", True), ("漢", True), ("", False), (None, False)])
@@ -75,3 +77,9 @@ def test_missing_texts_and_labels_of_one_kind_drop_nothing(spark):
     for label in (0, 1):
         one = toxicity.train(docs, labels.withColumn("toxic", F.lit(label)))
         assert toxicity.without_toxic(docs, one).count() == docs.count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    result = queries.QUERIES[name](spark, SF_DIR).toArrow()
+    assert differences(result, connect(SF_DIR).sql(ORACLE_SQL[name]).to_arrow_table()) == []
