@@ -65,13 +65,13 @@ def test_match_keys_do_not_run_together(spark):
     assert without_match(rows, existing, "x", "y").count() == 1
 
 
-METRIC_FEED = [
+METRIC_FEED = [{"event_type": "authentication", **row} for row in (
     {"event_id": "1", "event_time": "2031-03-06T09:15:00+00:00", "actor_id": "A", "bytes_out": 10},
     {"event_id": "2", "event_time": "2031-03-06T09:15:59.999+00:00", "actor_id": "A", "source_ip": "x", "bytes_out": 5, "outcome": "failure", "failed_attempts_1h": 20},
     {"event_id": "3", "event_time": "2031-03-06T09:15:20+00:00", "actor_id": "B", "bytes_out": 1, "outcome": "blocked"},
     {"event_id": "4", "event_time": "2031-03-06T09:16:00+00:00", "actor_id": "B"},
     {"event_id": "5", "event_time": "2031-03-06T09:15:20+00:00", "actor_id": "B", "target_system": "other"},
-]
+)]
 
 
 @pytest.mark.parametrize("exact", [True, False])
@@ -79,7 +79,7 @@ def test_minute_metrics(processed, exact):
     metrics = security_metrics(valid_events(processed(*METRIC_FEED)), exact=exact)
     assert metrics.columns == AGGREGATE_SCHEMA.names[:-1]
     assert metrics.count() == 3
-    row = metrics.filter("target_system = 'billing-core' AND minute(window_start) = 15").first()
+    row = metrics.filter("target_system = 'target_system' AND minute(window_start) = 15").first()
     assert (row.event_count, row.failure_count, row.blocked_count, row.failure_rate) == (3, 1, 1, 0.3333)
     assert (row.unique_actors, row.unique_source_ips, row.total_bytes_out) == (2, 2, 16)
     assert (row.anomaly_count, row.max_severity_rank) == (1, 3)

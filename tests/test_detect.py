@@ -3,7 +3,7 @@ from tidewatch.operators.rollups import indicators_by_reason
 from tidewatch.rules import NOTEBOOK_RULES, THREAT_CATALOGUE, DetectionRules, catalogue_frame
 
 BRUTE = {"event_type": "authentication", "outcome": "failure"}
-PRIVILEGED = {"is_privileged_actor": True}
+PRIVILEGED = {"is_privileged_actor": True, "mfa_used": True}
 FIRES = [
     ({**BRUTE, "failed_attempts_1h": 10}, "credential_brute_force", "HIGH"),
     ({"event_type": "privilege_change"}, "unauthorized_privilege_escalation", "CRITICAL"),
@@ -72,7 +72,7 @@ def test_notebook_profile_has_six_rules(processed):
 
 
 def test_thresholds_are_parameters(processed):
-    rules = DetectionRules(failed_attempts_threshold=3, high_risk_countries=("IE",), off_hours_start=9, off_hours_end=8)
+    rules = DetectionRules(failed_attempts_threshold=3, high_risk_countries=("SOURCE_COUNTRY",), off_hours_start=9, off_hours_end=8)
     rows = processed(
         {**BRUTE, "failed_attempts_1h": 3}, {}, {**PRIVILEGED, "source_country": "US"}, rules=rules
     ).collect()

@@ -22,11 +22,11 @@ REASON_CASES = [
 
 
 def test_normalises_and_accepts_an_ordinary_event(processed):
-    row = processed({}).first()
+    row = processed({"actor_email": " Sam@Mail.TEST ", "target_system": " Vault-7 ", "source_country": "pt "}).first()
     assert (row.quality_status, row.quality_failure_reason) == ("valid", "")
-    assert row.actor_email == "pat.doe@sample.org"
-    assert row.target_system == "billing-core"
-    assert row.source_country == "IE"
+    assert row.actor_email == "sam@mail.test"
+    assert row.target_system == "vault-7"
+    assert row.source_country == "PT"
     assert row.event_hour == 9
     assert (row.is_anomaly, row.severity, row.severity_rank, row.mitre_tactic) == (False, "NONE", 0, None)
 

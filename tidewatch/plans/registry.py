@@ -374,9 +374,8 @@ def failed_auth_hitters(spark, sf_dir):
     fact = _fact(spark, sf_dir)
     failed = fact.filter((F.col("event_type") == "authentication") & (F.col("outcome") == "failure"))
     minutes = hitter_states(failed, [F.window("event_timestamp", "1 minute")["start"].alias("window_start")], "actor_id")
-    found = top_values(combined_states(combined_states(minutes, _hour())), TRACKED)
-    total = failed.agg(F.count("actor_id").alias("total"))
-    return found.join(F.broadcast(total), F.col("count") >= F.col("total") / 1000).select(F.col("value").alias("actor_id"), F.col("count").alias("failed_count"))
+    found = top_values(combined_states(combined_states(minutes, _hour())), TRACKED, "n_rows")
+    return found.filter(F.col("count") >= F.col("n_rows") / 1000).select(F.col("value").alias("actor_id"), F.col("count").alias("failed_count"))
 
 
 @query
