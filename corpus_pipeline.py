@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontam, lines, near, packing, toxicity
+from tidewatch.llm import decontam, lines, packing, simhash, toxicity
 from tidewatch.llm.common import staged, table
 
 
@@ -25,8 +25,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, exact Jaccard similarity of 0.8 or more) stays, that with the smallest id."""
-    return near.one_per_group(docs)
+    """One document of each group of near-duplicates (fingerprints of three-word shingles, linked at two or fewer differing bits) stays, that with the smallest id."""
+    return simhash.one_per_group(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
