@@ -215,6 +215,14 @@ def test_lines_around_a_hub(spark):
     assert sum(gone == [0] for _, gone, _ in expected) == 150
 
 
+def test_many_removed_lines_of_one_text(spark):
+    """What stays is cut out run by run, so a text of very many removed lines takes linear time."""
+    made = [(1, "\n".join(["first", *["the same line again and again"] * 60_000, "", "last of all"])), (2, "the same line again and again\nown words"), (3, "first")]
+    got = lines.deduplicated(spark.createDataFrame(made, "doc_id long, text string"))
+    kept = [(1, list(range(2, 60_001)), "first\nthe same line again and again\n\nlast of all"), (2, [0], "own words"), (3, [0], "")]
+    assert sorted((r.doc_id, r.removed, r.text) for r in got.collect()) == kept
+
+
 # --- decontamination ---
 
 
