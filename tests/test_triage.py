@@ -138,6 +138,22 @@ def test_second_run_writes_nothing(spark, threats, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_second_run_on_tables_too_large_to_broadcast(spark, threats, tmp_path):
+    """The shuffle of the waiting threats is empty then, and adaptive execution drops what comes before it, its counts too."""
+    path = str(tmp_path / "insights")
+    spark.createDataFrame([], INSIGHT_SCHEMA).write.parquet(path)
+    feed = threats({"event_id": "a"}, {"event_id": "b"}, {"event_id": "b"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, expected in ((None, (3, 2)), (None, (0, 0)), (100, (0, 0))):
+            insights = spark.read.schema(INSIGHT_SCHEMA).parquet(path)
+            report = triage.run_triage(feed, insights, lambda rows: rows.write.mode("append").parquet(path), limit, AS_OF)
+            assert (report.fetched, report.written) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_reports_on_insights(threats):
     insights = triage.build_insights(threats({"event_id": "a"}, {**EGRESS, "event_id": "b"}), AS_OF)
     later = insights.withColumn("generated_at", F.expr("generated_at + INTERVAL 1 DAY")).filter("event_id = 'a'")

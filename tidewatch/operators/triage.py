@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -126,6 +127,17 @@ class TriageReport:
     written: int
 
 
+def _observed(rows: Observation) -> int:
+    """The number of rows seen. Where nothing came, adaptive execution may leave the place out of the plan, and then there are no metrics."""
+    try:
+        return rows.get.get("n", 0)
+    except Py4JJavaError as error:
+        # PySpark asserts that the metrics have a schema; the empty row that stands for none has not.
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return 0
+
+
 def run_triage(
     threats: DataFrame, insights: DataFrame, append, limit: int | None = 100, as_of: AsOf = None
 ) -> TriageReport:
@@ -137,4 +149,4 @@ def run_triage(
     waiting = untriaged_threats(threats, insights, limit).observe(fetched, F.count(F.lit(1)).alias("n"))
     fresh = new_insights(build_insights(waiting, as_of), insights).observe(written, F.count(F.lit(1)).alias("n"))
     append(fresh)
-    return TriageReport(fetched=fetched.get.get("n", 0), written=written.get.get("n", 0))
+    return TriageReport(fetched=_observed(fetched), written=_observed(written))
