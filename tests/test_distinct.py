@@ -29,6 +29,19 @@ def test_sets_add_up(spark, visits, tmp_path):
     assert distinct.set_sizes(distinct.distinct_sets(visits.limit(0), ["minute"], "actor", ids), "minute", name="n").count() == 0
 
 
+def test_sets_of_few_values_are_small(spark, visits, tmp_path):
+    """Many sets of one value each take a few bytes a set, hashed and not sorted; a full word, with its sign bit, counts 64."""
+    distinct.extended_dictionary(visits.select("actor")).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    single = distinct.distinct_sets(visits.withColumn("n", F.monotonically_increasing_id()), ["n"], "actor", ids)
+    assert single.agg(F.max(F.length(F.col("members").cast("string").cast("binary")))).first()[0] <= 20
+    assert distinct.set_sizes(single, "n", name="size").agg(F.sum("size"), F.max("size")).first()[:] == (visits.filter("actor IS NOT NULL").count(), 1)
+    assert "SortAggregate" not in distinct.merged_sets(single, F.lit(1).alias("all"))._jdf.queryExecution().executedPlan().toString()
+    dense = spark.range(128).select(F.lit("k").alias("k"), F.col("id").cast("string").alias("value"), F.col("id"))
+    words = distinct.distinct_sets(dense.select("k", "value"), ["k"], "value", dense.select("value", "id"))
+    assert words.count() == 2 and distinct.set_sizes(words, "k", name="size").collect() == [("k", 128)]
+
+
 def test_a_dictionary_grows_and_keeps_its_ids(spark, visits, tmp_path):
     first = visits.filter("minute < 20").select("actor")
     distinct.extended_dictionary(first.repartition(7)).write.parquet(str(tmp_path / "a"))
