@@ -15,6 +15,8 @@ from tidewatch.plans.mart_views import register_marts, triage_store
 from tidewatch.sources.curated import FACT, INSIGHTS, METRICS, QUARANTINE, CuratedStore
 from tidewatch.sources.messages import decode_messages, read_kafka_stream
 from tidewatch.streaming.progress import ProgressLog
+from tidewatch.session import TUNING, tune
+from tidewatch.streaming import pipeline
 from tidewatch.streaming.pipeline import (
     PipelineConfig,
     connector_writer,
@@ -23,6 +25,7 @@ from tidewatch.streaming.pipeline import (
     start_metrics,
     start_pipeline,
     supervise,
+    table_writer,
 )
 
 
@@ -144,6 +147,33 @@ def test_metrics_versions_and_watermark(spark, log, config, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("salts", [1, 2])
+def test_metrics_deduplicate_what_they_read_alone(processed, monkeypatch, salts):
+    seen = []
+    monkeypatch.setattr(pipeline, "unique_events", lambda events, config: seen.append(events.columns) or events)
+    pipeline.stream_metrics(processed({}), PipelineConfig("unused", hot_key_salts=salts))
+    # Copies are dealt to salts by their source position, so that has to be there.
+    assert (len(seen[0]) == 11) == (salts == 1) and ("user_agent" in seen[0]) == (salts > 1)
+
+
+def test_a_batch_is_written_once_without_a_cache(spark, processed, tmp_path, monkeypatch):
+    store, cached = CuratedStore(spark, str(tmp_path / "curated")), []
+    monkeypatch.setattr(pipeline, "_cached", cached.append)
+    minutes, write = security_metrics(valid_events(processed({}, {})), keep_sketches=True), table_writer(store, METRICS)
+    write(minutes.limit(0), 0)
+    assert store.log.version() == -1 and store.read(METRICS).count() == 0
+    write(minutes, 1)
+    write(minutes, 1)
+    assert not cached and [(r.batch_id, r.event_count) for r in store.read(METRICS).collect()] == [(1, 2)]
+
+
+def test_a_given_session_gets_the_codegen_limit(spark):
+    (name, limit), = TUNING.items()
+    spark.conf.set(name, "65535")
+    tune(spark)
+    assert spark.conf.get(name) == limit
+
+
 @pytest.mark.parametrize("mode,batch_dedup", [("key", dedup_by_key), ("id", dedup_by_id)])
 def test_stream_metrics_equal_batch_metrics(spark, log, tmp_path, mode, batch_dedup):
     add, stream = log

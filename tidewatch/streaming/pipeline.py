@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.dedup import EVENT_KEY, dedup_by_id, dedup_by_key, keyed_rows, without_match
 from tidewatch.operators.detect import flag_threats
-from tidewatch.operators.metrics import security_metrics
+from tidewatch.operators.metrics import METRIC_INPUTS, security_metrics
 from tidewatch.operators.quality import clean_events, quarantined_events, valid_events
 from tidewatch.rules import STANDARD_GATE, STANDARD_RULES, DetectionRules, QualityRules
 from tidewatch.schemas import SKETCHES
@@ -52,8 +52,15 @@ def unique_events(events: DataFrame, config: PipelineConfig) -> DataFrame:
 
 
 def stream_metrics(enriched: DataFrame, config: PipelineConfig) -> DataFrame:
-    """One-minute metrics of the valid, de-duplicated stream."""
-    return security_metrics(unique_events(valid_events(enriched), config), keep_sketches=True)
+    """One-minute metrics of the valid, de-duplicated stream.
+
+    De-duplication keeps every column it is given, so it gets those alone that the metrics read. Salts go by the source position
+    of a copy, which would be gone then.
+    """
+    events = valid_events(enriched)
+    if config.hot_key_salts == 1:
+        events = events.select(*EVENT_KEY, *METRIC_INPUTS)
+    return security_metrics(unique_events(events, config), keep_sketches=True)
 
 
 @contextmanager
@@ -109,12 +116,15 @@ def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[Data
 
 
 def table_writer(store: CuratedStore, table: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that appends a micro-batch, with its batch id, to one table."""
+    """Batch writer that appends a micro-batch, with its batch id, to one table.
+
+    The stateful plan of the batch runs once, in the write itself; a batch without rows leaves no commit.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with _cached(batch):
-            if not batch.isEmpty():
-                store.append(table, batch, batch_id, _batch_key(batch, batch_id))
+        key = _batch_key(batch, batch_id)
+        if parts := store.write(table, batch, key, batch_id):
+            store.log.commit(key, parts)
 
     return write
 
