@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators.dedup import dedup_by_id, dedup_by_key, without_match
+from tidewatch.operators.dedup import dedup_by_id, dedup_by_key, unseen_by_key, without_match
 from tidewatch.operators.lateness import mark_late
 from tidewatch.operators.metrics import current_metrics, security_metrics
 from tidewatch.operators.quality import valid_events
@@ -106,3 +106,14 @@ def test_late_marking_is_the_same_for_every_chunking(spark, chunk, levels):
         expected[n] = minute is not None and seen is not None and minute < seen - 10
         seen = minute if seen is None or (minute is not None and minute > seen) else seen
     assert late == expected
+
+
+def test_unseen_by_key_is_dedup_then_look_back(processed):
+    rows = processed(*FEED, *FEED, {"event_id": "stored"}, {"event_id": "stored", "actor_id": "copy"}, {"event_id": None}, {"event_time": "x"}, {"event_time": "x"})
+    stored = processed({"event_id": "stored"}, {"event_id": "stored"}, {"event_id": None}, {"event_time": "x"}, {"event_id": "other"}).select("event_id", "event_timestamp")
+    expected = without_match(dedup_by_key(rows), stored, "event_id", "event_timestamp")
+    got = unseen_by_key(rows, stored)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == rows.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    assert plan.count("Exchange hashpartitioning") == 1 and "row_number(), 1, Partial" in plan

@@ -167,6 +167,32 @@ def test_a_batch_is_written_once_without_a_cache(spark, processed, tmp_path, mon
     assert not cached and [(r.batch_id, r.event_count) for r in store.read(METRICS).collect()] == [(1, 2)]
 
 
+@pytest.mark.parametrize("look_back", [True, False])
+def test_fact_and_quarantine_are_written_in_one_pass(spark, processed, tmp_path, monkeypatch, look_back):
+    """Without a cache, and a file per table and date also where adaptive execution is off, as in stateful streams."""
+    store, cached = CuratedStore(spark, str(tmp_path / "curated")), []
+    monkeypatch.setattr(pipeline, "_cached", cached.append)
+    made = [{"event_id": str(n), "actor_id": "" if n % 3 == 0 else "x"} for n in range(30)]
+    rows = processed(*made, {"event_id": "undecided", "bytes_out": None}).repartition(8)
+    write = pipeline.events_writer(store, look_back)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write(rows.limit(0), 0)
+        write(rows.filter("quality_status = 'invalid'").filter("event_id = '3'"), 1)
+        write(rows, 2)
+        write(rows, 2)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert not cached
+    assert store.read(FACT).count() == 20
+    rejected = sorted((r.event_id, r.batch_id) for r in store.read(QUARANTINE).collect())
+    expected = [("3", 1), *((str(n), 2) for n in range(0, 30, 3)), ("undecided", 2)]
+    assert rejected == sorted(e for e in expected if not look_back or e != ("3", 2))
+    assert len(store.read(FACT).inputFiles()) == 1 and len(store.read(QUARANTINE).inputFiles()) == 2
+    assert not list((tmp_path / "curated" / "_together").iterdir())
+
+
 def test_a_given_session_gets_the_codegen_limit(spark):
     (name, limit), = TUNING.items()
     spark.conf.set(name, "65535")

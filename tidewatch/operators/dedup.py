@@ -45,9 +45,7 @@ def dedup_by_key(events: DataFrame, watermark_delay: str = "10 minutes", salts:
     meet in that many tasks instead of one, at the price of a second state.
     """
     if not events.isStreaming:
-        # Rows without a key get a number of their own, so that one pass over the input does for both kinds.
-        alone = events.withColumn("_alone", F.when(~_has_key(*EVENT_KEY), F.monotonically_increasing_id()))
-        return first_per_key(alone, [*EVENT_KEY, "_alone"], "ingestion_timestamp").drop("_alone")
+        return first_per_key(_numbered(events), [*EVENT_KEY, "_alone"], "ingestion_timestamp").drop("_alone")
     keyed, unkeyed = keyed_rows(events), events.filter(~_has_key(*EVENT_KEY))
     unique = keyed.withWatermark(EVENT_TIME, watermark_delay)
     if salts > 1:
@@ -57,6 +55,24 @@ def dedup_by_key(events: DataFrame, watermark_delay: str = "10 minutes", salts:
     return unique.dropDuplicates(list(EVENT_KEY)).unionByName(unkeyed)
 
 
+def _numbered(events: DataFrame) -> DataFrame:
+    """Rows without a key get a number of their own, so that one pass over the input does for both kinds."""
+    return events.withColumn("_alone", F.when(~_has_key(*EVENT_KEY), F.monotonically_increasing_id()))
+
+
+def unseen_by_key(events: DataFrame, stored: DataFrame) -> DataFrame:
+    """``dedup_by_key`` of a batch without the rows whose key is in ``stored(event_id, event_timestamp)``: the rows move once for both.
+
+    A stored key comes before all rows of that key and leaves none of them. Repeats are dropped before the shuffle, on both sides.
+    """
+    numbered = _numbered(events)
+    rows = numbered.withColumns({"_hash": row_hash(numbered), "_stored": F.lit(False)})
+    known = keyed_rows(stored.select(*EVENT_KEY)).withColumn("_stored", F.lit(True))
+    key = Window.partitionBy(*EVENT_KEY, "_alone").orderBy(F.desc("_stored"), "ingestion_timestamp", "_hash")
+    ranked = rows.unionByName(known, allowMissingColumns=True).withColumn("_nth", F.row_number().over(key))
+    return ranked.filter("_nth = 1 AND NOT _stored").select(*events.columns)
+
+
 def dedup_by_id(events: DataFrame, watermark_delay: str = "10 minutes") -> DataFrame:
     """One row per event_id. A batch keeps the earliest event time, a stream the first to arrive."""
     if events.isStreaming:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DateType, StringType, StructField, StructType, TimestampType
 
@@ -29,6 +29,8 @@ TABLE_SCHEMAS: dict[str, StructType] = {
 DATE_SOURCE = {FACT: "event_timestamp", QUARANTINE: "event_timestamp", METRICS: "window_start"}
 EVENT_DATE, BATCH_KEY = "event_date", "batch_key"
 WRITTEN_AT = "written_at"
+# While several tables are written together, the table of a row.
+TABLE = "_table"
 # Event time and storage time, whose bounds the manifests keep.
 TIMES = {
     FACT: ("event_timestamp", "ingestion_timestamp"),
@@ -166,6 +168,30 @@ class CuratedStore:
             shaped.write.parquet(f"{self.path(table)}/{folder}")
         return self._written(table, folder, batch_key)
 
+    def write_split(self, rows: DataFrame, table: Column, tables: Sequence[str], batch_key: str, batch_id: int | None = None) -> list[Part]:
+        """``write`` to several dated tables of one schema in one pass over the rows, which ``table`` deals out; rows of no table are left out.
+
+        All of them go to one folder first; each table's part of it is then moved below that table.
+        """
+        rows = rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id))
+        shaped = conform(rows.withColumn(TABLE, table), StructType([*TABLE_SCHEMAS[tables[0]].fields, StructField(TABLE, StringType())]))
+        shaped = shaped.filter(F.col(TABLE).isin(list(tables))).withColumn(EVENT_DATE, F.to_date(DATE_SOURCE[tables[0]]))
+        run = uuid.uuid4().hex
+        folder, together = f"{BATCH_KEY}={batch_key}/run={run}", f"{self.location}/_together/run={run}"
+        shaped.hint("rebalance", TABLE, EVENT_DATE).write.partitionBy(TABLE, EVENT_DATE).parquet(together)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(together).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        parts = []
+        for name in tables:
+            own, target = path(f"{together}/{TABLE}={name}"), path(f"{self.path(name)}/{folder}")
+            if files.exists(own):
+                files.mkdirs(target.getParent())
+                if not files.rename(own, target):
+                    raise OSError(f"{own} could not be moved to {target}")
+                parts += self._written(name, folder, batch_key)
+        files.delete(path(together), True)
+        return parts
+
     def _written(self, table: str, folder: str, batch_key: str) -> list[Part]:
         event, stored = TIMES[table]
         rows = self.spark.read.schema(stored_schema(table)).parquet(f"{self.path(table)}/{folder}")

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.dedup import EVENT_KEY, dedup_by_id, dedup_by_key, keyed_rows, without_match
+from tidewatch.operators.dedup import EVENT_KEY, dedup_by_id, dedup_by_key, keyed_rows, unseen_by_key
 from tidewatch.operators.detect import flag_threats
 from tidewatch.operators.metrics import METRIC_INPUTS, security_metrics
-from tidewatch.operators.quality import clean_events, quarantined_events, valid_events
+from tidewatch.operators.quality import INVALID, VALID, clean_events, valid_events
 from tidewatch.rules import STANDARD_GATE, STANDARD_RULES, DetectionRules, QualityRules
 from tidewatch.schemas import SKETCHES
 from tidewatch.streaming.progress import ProgressLog
@@ -79,23 +79,37 @@ def _batch_key(batch: DataFrame, batch_id: int) -> str:
     return f"{query_id or 'batch'}-{batch_id}"
 
 
+@contextmanager
+def _adaptive(batch: DataFrame) -> Iterator[None]:
+    """Adaptive execution for what is made of a batch: Spark turns it off for stateful streams, and each of their tasks would write a file per date.
+
+    The plan of the batch itself is made before and stays as it is.
+    """
+    conf, name = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        yield
+    finally:
+        conf.set(name, before)
+
+
 def _unseen(batch: DataFrame, store: CuratedStore, batch_key: str) -> DataFrame:
-    """Rows of the batch whose key no earlier batch has stored as fact or quarantine.
+    """One row per key of the batch that no earlier batch has stored as fact or quarantine.
 
     Equal keys have equal event times, so the look-back reads two columns of the parts whose dates and event times overlap those of the
-    batch, by their manifests. Rows stored by a first attempt at this same
-    batch do not count: they are about to be replaced. The optimizer chooses between shuffle and broadcast by size.
+    batch, by their manifests. Rows stored by a first attempt at this same batch do not count: they are about to be replaced.
     """
     day = F.to_date("event_timestamp").alias(EVENT_DATE)
     spans = keyed_rows(batch).groupBy(day).agg(F.min("event_timestamp"), F.max("event_timestamp")).collect()
     if not spans:
-        return batch
+        return dedup_by_key(batch)
     first, last = min(s[1] for s in spans), max(s[2] for s in spans)
     keys = [
         store.read(table, [s[0] for s in spans], (first, last), without_batch=batch_key).select(*EVENT_KEY) for table in (FACT, QUARANTINE)
     ]
     stored = keys[0].unionAll(keys[1]).filter(F.col("event_timestamp").between(F.lit(first), F.lit(last)))
-    return without_match(batch, stored, *EVENT_KEY)
+    return unseen_by_key(batch, stored)
 
 
 def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[DataFrame, int], None]:
@@ -103,14 +117,15 @@ def events_writer(store: CuratedStore, look_back: bool = True) -> Callable[[Data
 
     With ``look_back`` repeats are dropped inside the batch and against what is stored, so a late event is
     kept whatever its delay; without it the stream must have been de-duplicated before. Rows without a
-    key are all kept. The batch and its new rows are cached, since each is used several times.
+    key are all kept. Nothing is cached: both tables are written in one pass, and the look-back reads the event times in a pass of its own.
     """
+    table = F.when(F.col("quality_status") == VALID, FACT).when(F.col("quality_status") == INVALID, QUARANTINE)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with _cached(batch):
-            key = _batch_key(batch, batch_id)
-            with _cached(_unseen(dedup_by_key(batch), store, key) if look_back else batch) as rows:
-                store.commit({FACT: valid_events(rows), QUARANTINE: quarantined_events(rows)}, batch_id, key)
+        key = _batch_key(batch, batch_id)
+        with _adaptive(batch):
+            rows = _unseen(batch, store, key) if look_back else batch
+            store.log.commit(key, store.write_split(rows, table, (FACT, QUARANTINE), key, batch_id))
 
     return write
 
@@ -123,8 +138,9 @@ def table_writer(store: CuratedStore, table: str) -> Callable[[DataFrame, int],
 
     def write(batch: DataFrame, batch_id: int) -> None:
         key = _batch_key(batch, batch_id)
-        if parts := store.write(table, batch, key, batch_id):
-            store.log.commit(key, parts)
+        with _adaptive(batch):
+            if parts := store.write(table, batch, key, batch_id):
+                store.log.commit(key, parts)
 
     return write
 
