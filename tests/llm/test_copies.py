@@ -150,6 +150,17 @@ def test_large_buckets_keep_every_link(spark):
     assert links <= {tuple(r) for r in similar.prefix_pairs(alone, bodies, similar.F.col, 0.8, "t").collect()}
 
 
+def test_pairs_of_one_group_are_made_once(spark):
+    """Sets that share nearly all elements of their prefixes meet at the first shared one, not at each; short sets have few elements before that."""
+    sets = [set(range(100)) | {1000 + 10 * i + j for j in range(10)} for i in range(30)] + [{5000, 5001}, {5000, 5001}, {6000}, {6000}]
+    bodies = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, body array<long>")
+    alone = spark.createDataFrame([(i, i) for i in range(len(sets))], "id long, root long")
+    met = [tuple(r) for r in similar.prefix_meetings(alone, bodies, similar.F.col, 0.8, "t").collect()]
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(links) == 30 * 29 // 2 + 2 and links <= set(met)
+    assert len(met) <= 1.1 * len(set(met))
+
+
 # --- lines ---
 
 
