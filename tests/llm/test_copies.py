@@ -161,6 +161,23 @@ def test_pairs_of_one_group_are_made_once(spark):
     assert len(met) <= 1.1 * len(set(met))
 
 
+def test_rounds_carry_ids_alone(spark, monkeypatch):
+    """What is written and shuffled by bucket in each round are ids, not outlines; signatures go to their buckets without a table between."""
+    written = {}
+
+    def recorded(df, purpose, staged=similar.staged):
+        written[purpose] = df.dtypes
+        return staged(df, purpose)
+
+    monkeypatch.setattr(similar, "staged", recorded)
+    monkeypatch.setattr(lines, "staged", recorded)
+    text = "a rather long line that very many documents hold with a small change at its very end, number "
+    made = [(i, f"{text}{i}\n{'xyz' * i} own line {i}") for i in range(60)]
+    assert lines.deduplicated(spark.createDataFrame(made, "doc_id long, text string")).count() == 60
+    assert {"lines-met", "lines-heads", "lines-rooted"} <= written.keys() and "lines-bands" not in written
+    assert {kind for purpose, columns in written.items() for name, kind in columns if any(c == "bucket" for c, _ in columns)} <= {"bigint", "boolean"}
+
+
 # --- lines ---
 
 
@@ -226,6 +243,15 @@ def test_lines_around_a_hub(spark):
     assert sum(gone == [0] for _, gone, _ in expected) == 150
 
 
+def test_lines_that_repeat_themselves(spark):
+    """Lines of very different lengths whose shingles are the same few: repeats count once."""
+    made = [(i, "\n".join([c * n, f"{c}{c.upper()}{i % 4}" * n, f"{c} own {i}"])) for i, (c, n) in enumerate((c, n) for c in "xyz" for n in (9, 30, 300, 4000))]
+    got = lines.deduplicated(spark.createDataFrame(made, "doc_id long, text string"))
+    expected = _plain_lines(made, lines.SIMILARITY)
+    assert sorted(((r.doc_id, r.removed, r.text) for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    assert sum(len(gone) for _, gone, _ in expected) >= 9
+
+
 def test_many_removed_lines_of_one_text(spark):
     """What stays is cut out run by run, so a text of very many removed lines takes linear time."""
     made = [(1, "\n".join(["first", *["the same line again and again"] * 60_000, "", "last of all"])), (2, "the same line again and again\nown words"), (3, "first")]
