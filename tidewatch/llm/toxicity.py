@@ -30,6 +30,8 @@ DENSE = 100
 #: Different left neighbours that a term's form must have had among the examples.
 MIN_CONTEXTS = 12
 MEMORY = 300_000
+#: Texts of an Arrow batch that are Python strings at a time.
+BATCH_ROWS = 500
 _WORD = re.compile(r"\w+")
 #: Stands for all pairs of neighbouring words; no word looks like it.
 EVERY = "* *"
@@ -335,7 +337,14 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Forms(model.terms)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.string()).to_pylist()
-            yield batch.filter(pa.array([t is None or model.score(term_counts(t, cache, model.terms))[0] < THRESHOLD for t in texts], pa.bool_()))
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.string())
+            stays: list[bool] = []
+            for at in range(0, len(texts), BATCH_ROWS):
+                some = texts.slice(at, BATCH_ROWS).to_pylist()
+                stays += [t is None or model.score(term_counts(t, cache, model.terms))[0] < THRESHOLD for t in some]
+            yield batch.filter(pa.array(stays, pa.bool_()))
+        # The worker stays for later tasks and stages: what this one held goes back.
+        cache.clear()
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
