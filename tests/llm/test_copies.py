@@ -178,9 +178,42 @@ def test_rounds_carry_ids_alone(spark, monkeypatch):
     assert {kind for purpose, columns in written.items() for name, kind in columns if any(c == "bucket" for c, _ in columns)} <= {"bigint", "boolean"}
 
 
+def test_few_pairs_move_few_sets(spark):
+    """A round with few pairs reads the bodies and outlines of these alone; many pairs take the whole tables."""
+    bodies = spark.range(1000).selectExpr("id", "array(id, id + 1, id + 2) AS body", "3 AS n")
+    few, none = spark.createDataFrame([(1, 2), (2, 900)], "a long, b long"), spark.createDataFrame([], "a long, b long")
+    assert sorted(r.id for r in similar.needed(bodies, few).collect()) == [1, 2, 900]
+    assert similar.needed(bodies, none).count() == 0
+    many = spark.range(similar.FEW_PAIRS + 1).selectExpr("id AS a", "id + 1 AS b")
+    assert similar.needed(bodies, many).count() == 1000
+
+
+def test_sizes_of_sets_are_worked_out_once(spark, monkeypatch):
+    """A comparison takes the sizes of its sets as they were staged with the bodies, and repeats do not count."""
+    written = {}
+    monkeypatch.setattr(similar, "staged", lambda df, purpose, staged=similar.staged: written.setdefault(purpose, staged(df, purpose)))
+    bodies = spark.createDataFrame([(1, [1, 1, 2, 3, 4, 5]), (2, [1, 2, 3, 4]), (3, [9, 9])], "id long, body array<long>")
+    members = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "bucket long, id long")
+    held, _ = similar.outlined(bodies, members, similar.F.col, lambda df: df.select("id", similar.F.explode("body").alias("h")), "t")
+    assert sorted((r.id, r.n) for r in held.collect()) == [(1, 5), (2, 4), (3, 1)]
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    assert [tuple(r) for r in similar.verified(pairs, held, similar.F.col, 0.8, "t").collect()] == [(1, 2)]
+
+
 # --- lines ---
 
 
+def test_signature_rows_hold_several_shingles(spark):
+    """The numbers are those of every shingle on its own, for lines that end anywhere in a row of shingles; the lines are exploded into a fourth of the rows."""
+    texts = ["", "a", "short", *["line of any length whatsoever " * 3 + "x" * n for n in range(9)], "é" * 40]
+    made = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "line_id long, bytes binary")
+    each = lines._exploded_shingles(made, "line_id", "bytes").groupBy("line_id")
+    expected = each.agg(*[lines.F.min(lines.F.col("h").bitwiseXOR(lines.F.lit(lines._constant(i)))).alias(f"m{i}") for i in range(24)])
+    got = lines.signatures(made)
+    assert got.columns == expected.columns and sorted(got.collect()) == sorted(expected.collect())
+    assert lines.STRIDE > 1 and f"Some({lines.STRIDE})" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def _plain_lines(rows, similarity):
     rows = [(float("inf") if d is None else d, t) for d, t in rows]
     holders = defaultdict(list)
