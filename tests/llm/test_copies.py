@@ -200,6 +200,49 @@ def test_sizes_of_sets_are_worked_out_once(spark, monkeypatch):
     assert [tuple(r) for r in similar.verified(pairs, held, similar.F.col, 0.8, "t").collect()] == [(1, 2)]
 
 
+def test_many_pairs_move_no_row_they_do_not_name(spark, monkeypatch):
+    """However many the pairs are, a comparison reads the rows that they name alone, by bitmaps or, if these are too large, by a shuffle."""
+    rows = spark.range(-1000, 400_000).selectExpr("id", "id * 2 AS twice")
+    many = spark.range(0, 2 * similar.FEW_PAIRS + 2, 2).selectExpr("id AS a", "-1 AS b")
+    assert many.count() > similar.FEW_PAIRS
+    expected = [-1, *range(0, 2 * similar.FEW_PAIRS + 2, 2)]
+    by_bitmap = similar.needed(rows, many)
+    assert "Exchange hashpartitioning(id" not in by_bitmap._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in by_bitmap.collect()) == expected
+    monkeypatch.setattr(similar, "MOST_WORDS", 10)
+    assert sorted(r.id for r in similar.needed(rows, many).collect()) == expected
+
+
+def test_bounds_decide_as_sizes_do(spark, monkeypatch):
+    """Pairs with bounds of their sizes are judged as by the sizes themselves, also where a body lists elements again and again."""
+    rng = np.random.default_rng(11)
+    made = []
+    for i in range(40):
+        base = rng.integers(0, 200, 60)
+        made += [[int(x) for x in base], [int(x) for x in np.concatenate((base[: rng.integers(30, 60)], rng.integers(0, 200, rng.integers(1, 30))))]]
+    bodies = spark.createDataFrame(list(enumerate(made)), "id long, body array<long>")
+    members = spark.createDataFrame([(i // 2, i) for i in range(80)], "bucket long, id long")
+    held, outlines = similar.outlined(bodies, members, similar.F.col, lambda df: df.select("id", similar.F.explode("body").alias("h")), "t")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(0, 80, 2)], "a long, b long")
+    near = similar.alike(pairs, outlines, 0.6)
+    bounds = {r.a: (r.least, r.most) for r in near.collect()}
+    links = {i for i in range(0, 80, 2) if len({*made[i]} & {*made[i + 1]}) >= 0.6 * len({*made[i]} | {*made[i + 1]})}
+    assert 5 < len(links) < 40 and links <= bounds.keys()
+    assert all(low <= len({*made[i]}) + len({*made[i + 1]}) <= high for i, (low, high) in bounds.items())
+    assert {r.a for r in similar.verified(near, held, similar.F.col, 0.6, "t").collect()} == links
+
+
+def test_rare_pairs_are_compared_by_their_outlines_first(spark, monkeypatch):
+    """Pairs of the rare-element search that cannot be similar by their outlines do not reach the exact comparison."""
+    read = []
+    monkeypatch.setattr(similar, "verified", lambda pairs, *rest, verified=similar.verified: read.append(pairs.columns) or verified(pairs, *rest))
+    sets = [set(range(0, 100)) | {1000 + 100 * i + j for j in range(30)} for i in range(60)] + [set(range(7000, 7100)) | {8000 + i // 2} for i in range(40)]
+    members = spark.createDataFrame([(1, i) for i in range(len(sets))], "bucket long, id long")
+    bodies = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, body array<long>")
+    similar.similar_pairs(members, bodies, similar.F.col).collect()
+    assert len(read) > 2 and all({"most", "least"} <= {*columns} for columns in read)
+
+
 # --- lines ---
 
 
