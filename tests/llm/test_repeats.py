@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from tidewatch.llm import repeats
@@ -75,6 +77,60 @@ def test_against_brute_force(spark, seed, monkeypatch):
     assert sorted(found, key=repr) == brute_force(rows, repeats.LENGTH)
 
 
+def _in_own_contexts(n, rng):
+    """A passage in each of n documents, with a context of its own on both sides."""
+    prose = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    passage = prose(150)
+    return [(i, prose(rng.randint(60, 90)) + passage[rng.randint(0, 3) :] + prose(rng.randint(60, 90))) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [1, 12])
+def test_cut_up_anchors_against_brute_force(spark, monkeypatch, hot):
+    """Anchors with more segments than ``HOT`` give the same spans window by window."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rows = _in_own_contexts(60, random.Random(4))
+    rows += [(None, rows[3][1][40:]), (None, rows[3][1]), (7, rows[9][1]), (70, None), (71, rows[5][1] * 2)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = [(r.doc_id, len(r.kept) + sum(s.end - s.start for s in r.removed), sum(s.end - s.start for s in r.removed), len(r.removed), bytes(r.kept)) for r in got]
+    assert sorted(found, key=repr) == brute_force(rows, repeats.LENGTH)
+
+
+def test_a_common_passage_is_spread_over_buckets():
+    """The segments at the edges of a passage, one a document, do not all go to the buckets of a few anchors."""
+    rows, buckets = _in_own_contexts(1200, random.Random(6)), 64
+    tables = [
+        pa.table({"batch": pa.array([b] * 150, pa.int64()), "doc_id": [r[0] for r in part], "body": pa.array([r[1].encode() for r in part], pa.binary())})
+        for b, part in enumerate(rows[i : i + 150] for i in range(0, 1200, 150))
+    ]
+
+    def largest(hot):
+        said = pa.concat_tables(repeats._announce(buckets, 50)(t) for t in tables)
+        by_bucket = [said.filter(pa.compute.equal(said["bucket"], b)) for b in range(buckets)]
+        shared = pa.concat_tables(repeats._find_shared(hot)(t) for t in by_bucket if t.num_rows)
+        sizes = np.zeros(buckets)
+        for b, t in enumerate(tables):
+            sent = repeats._send_segments(buckets, 50)(t, shared.filter(pa.compute.equal(shared["batch"], b)))
+            np.add.at(sizes, sent["bucket"].to_numpy(), [len(p) for p in sent["payload"].to_pylist()])
+        return sizes.max() / sizes.mean()
+
+    assert largest(1 << 40) > 8
+    assert largest(100) < 2
+
+
+def test_runs_do_not_depend_on_how_many_strings_are_looked_at_together(monkeypatch):
+    """Strings of different keys share no window; a key's strings are looked at together."""
+    rng = random.Random(8)
+    strings = symbols(*{bytes(97 + 2 * k + rng.randint(0, 1) for _ in range(rng.randint(8, 30))) for k in range(6) for _ in range(rng.choice([1, 5, 100]))})
+    values, keys = np.arange(len(strings))[::-1].copy(), np.array([(s[0] - 98) // 2 for s in strings.tolist()], np.uint32)
+    whole = repeats._runs(strings, values, keys, 8)
+    for chunk, size, sorted_at_once in ((1, 3, 50), (30, 7, 1000), (70, 1000, 7)):
+        for name, value in (("CHUNK", chunk), ("ROWS", size), ("SORTED", sorted_at_once)):
+            monkeypatch.setattr(repeats, name, value)
+        assert all((a == b).all() for a, b in zip(whole, repeats._runs(strings, values, keys, 8), strict=True))
+    low = repeats.window_minima(strings, values, 8)
+    assert len(low) == len(strings)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(docs).count() == 0

@@ -6,7 +6,9 @@ of a window meet in one bucket. There the distinct segments that share an anchor
 Burrows-Wheeler transforms, which interleave refinement merges to a depth of ``length``; its blocks are the repeated intervals.
 
 Work is dealt by batches of documents, and a batch sends an anchor or a segment once however often it holds it, so
-a passage that a third of all documents share costs a bucket one entry a batch.
+a passage that a third of all documents share costs a bucket one entry a batch. At the passage's edges each document has a segment with a context
+of its own. An anchor with more than ``HOT`` different segments is cut up: its windows travel one by one, dealt by their content, so
+that no bucket gets all of them.
 """
 
 from __future__ import annotations
@@ -27,6 +29,12 @@ GRAM = 24
 STRETCH = 1 << 15
 #: Suffixes that are sorted together into one shard's transform.
 SHARD = 1 << 18
+#: Segments of an anchor beyond which its windows are dealt by their own content.
+HOT = 1 << 15
+#: Strings of a bucket that are looked at together, and window hashes of a large group that are sorted at a time.
+CHUNK, SORTED = 1 << 15, 1 << 20
+#: Strings made at a time, and how often a batch has an anchor before its different segments are counted.
+ROWS, OFTEN = 1 << 13, 8
 NO_ID = np.iinfo(np.int64).max
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -92,8 +100,21 @@ def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray,
     return np.argsort(np.argsort(source, kind="stable"), kind="stable"), block, common
 
 
+def _window_counts(strings: np.ndarray, length: int) -> np.ndarray:
+    return np.maximum(0, np.char.str_len(strings) - length + 1)
+
+
+def _by_string(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    return np.split(values, np.cumsum(counts)[:-1])
+
+
 def interval_minima(strings: np.ndarray, values: np.ndarray, length: int) -> list[np.ndarray]:
     """For every window of ``length`` symbols of the sorted distinct strings: the least value of a string that has it."""
+    return _by_string(_interval_minima(strings, values, length), _window_counts(strings, length))
+
+
+def _interval_minima(strings: np.ndarray, values: np.ndarray, length: int) -> np.ndarray:
+    """``interval_minima`` of all strings in a row."""
     lengths = np.char.str_len(strings)
     cuts = np.flatnonzero(np.diff((np.cumsum(lengths + 1) - 1) // SHARD)) + 1
     bounds = [0, *cuts.tolist(), len(strings)]
@@ -104,30 +125,33 @@ def interval_minima(strings: np.ndarray, values: np.ndarray, length: int) -> lis
     string, at, block = string[whole], at[whole], block[whole]
     begins = np.flatnonzero(np.diff(block, prepend=-1))
     least = np.repeat(np.minimum.reduceat(values[string], begins), np.diff([*begins, len(block)])) if len(block) else np.array([], np.int64)
-    order = np.lexsort((at, string))
-    return np.split(least[order], np.cumsum(np.maximum(0, lengths - length + 1))[:-1])
+    return least[np.lexsort((at, string))]
 
 
-def _window_places(strings: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, at, hash) of all windows of ``length`` symbols."""
+def _window_hashes(strings: np.ndarray, length: int) -> np.ndarray:
+    """The hashes of all windows of ``length`` symbols, string by string."""
     width = strings.dtype.itemsize
-    symbols = strings.view(np.uint8).reshape(-1, width)
-    windows = np.char.str_len(strings) - length + 1
-    inside = np.arange(width - length + 1) < windows[:, None]
-    string, at = np.nonzero(inside)
-    h = np.zeros((len(strings), width - length + 1), np.uint64)
-    for i in range(length):
-        h = h * _MULTIPLIER + symbols[:, i : i + width - length + 1]
-    return string, at, _mixed(h[inside])
+    symbols, counts, found = strings.view(np.uint8).reshape(-1, width), _window_counts(strings, length), []
+    for a in range(0, len(strings), ROWS):
+        some = symbols[a : a + ROWS]
+        h = np.zeros((len(some), width - length + 1), np.uint64)
+        for i in range(length):
+            h *= _MULTIPLIER
+            h += some[:, i : i + width - length + 1]
+        found.append(_mixed(h[np.arange(width - length + 1) < counts[a : a + ROWS, None]]))
+    return np.concatenate(found) if found else np.array([], np.uint64)
 
 
 def _in_several(string: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which windows have a hash that windows of several strings have."""
-    order = np.argsort(hashes, kind="stable")
-    begins = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))) if len(order) else np.array([], np.int64)
-    several = np.zeros(len(order), bool)
-    if len(order):
-        owner = string[order]
+    """Which windows have a hash that windows of several strings have; ``SORTED`` of them or so are sorted at a time."""
+    several, passes = np.zeros(len(hashes), bool), -(-len(hashes) // SORTED)
+    for p in range(passes):
+        where = np.flatnonzero(hashes % np.uint64(passes) == p) if passes > 1 else np.arange(len(hashes))
+        if not len(where):
+            continue
+        order = where[np.argsort(hashes[where], kind="stable")]
+        ranked, owner = hashes[order], string[order]
+        begins = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
         mixed = np.minimum.reduceat(owner, begins) != np.maximum.reduceat(owner, begins)
         several[order] = np.repeat(mixed, np.diff([*begins, len(order)]))
     return several
@@ -139,27 +163,36 @@ def window_minima(strings: np.ndarray, values: np.ndarray, length: int, rounds:
     A window whose hash no other string has keeps its string's value. What is left of the strings may coincide; it is
     folded and looked at once more. Only then the transforms decide, by symbols.
     """
-    string, at, hashes = _window_places(strings, length)
-    several = _in_several(string, hashes)
-    counts = np.maximum(0, np.char.str_len(strings) - length + 1)
+    return _by_string(_window_minima(strings, values, length, rounds), _window_counts(strings, length))
+
+
+def _window_minima(strings: np.ndarray, values: np.ndarray, length: int, rounds: int = 2) -> np.ndarray:
+    """``window_minima`` of all strings in a row."""
+    counts = _window_counts(strings, length)
+    offset = np.cumsum(counts) - counts
+    string = np.repeat(np.arange(len(strings), dtype=np.uint32), counts)
+    where = np.flatnonzero(_in_several(string, _window_hashes(strings, length)))
     low = np.repeat(values, counts)
-    if several.any():
-        where = np.flatnonzero(several)
+    if len(where):
         owners, first = np.unique(string[where], return_index=True)
-        begin, end = at[where[first]], at[where[np.append(first[1:], len(where)) - 1]] + length
+        last = where[np.append(first[1:], len(where)) - 1]
+        begin, end = where[first] - offset[owners], last - offset[owners] + length
         width = strings.dtype.itemsize
-        symbols = strings.view(np.uint8).reshape(-1, width)[owners]
-        places = np.minimum(begin[:, None] + np.arange(width), width - 1)
-        cut = np.where(np.arange(width) < (end - begin)[:, None], np.take_along_axis(symbols, places, axis=1), np.uint8(0))
-        folded, inverse = np.unique(np.ascontiguousarray(cut).view(f"S{width}").ravel(), return_inverse=True)
+        symbols, cut = strings.view(np.uint8).reshape(-1, width), np.zeros((len(owners), width), np.uint8)
+        for a in range(0, len(owners), ROWS):
+            some = slice(a, a + ROWS)
+            places = np.minimum(begin[some, None] + np.arange(width), width - 1)
+            cut[some] = np.where(np.arange(width) < (end - begin)[some, None], np.take_along_axis(symbols[owners[some]], places, axis=1), np.uint8(0))
+        folded, inverse = np.unique(cut.view(f"S{width}").ravel(), return_inverse=True)
         least = np.full(len(folded), NO_ID)
         np.minimum.at(least, inverse, values[owners])
-        again = window_minima if rounds > 1 and len(folded) < len(strings) else interval_minima
-        found = again(folded, least, length, rounds - 1) if again is window_minima else again(folded, least, length)
-        offset = np.cumsum(counts) - counts
-        for i, b, k in zip(owners, begin, inverse):
-            low[offset[i] + b : offset[i] + b + len(found[k])] = found[k]
-    return np.split(low, np.cumsum(counts)[:-1])
+        again = rounds > 1 and len(folded) < len(strings)
+        found = _window_minima(folded, least, length, rounds - 1) if again else _interval_minima(folded, least, length)
+        many = end - begin - length + 1
+        starts = np.cumsum(_window_counts(folded, length)) - _window_counts(folded, length)
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        low[np.repeat(offset[owners] + begin, many) + step] = found[np.repeat(starts[inverse], many) + step]
+    return low
 
 
 # --- anchors and segments -----------------------------------------------------------------------------------
@@ -256,21 +289,45 @@ class Batch:
                     out[int(self.bucket[part[0]])] = part
         return out
 
+    def travelling(self, replies: pa.Table, buckets: int, length: int) -> tuple[Batch, dict[int, np.ndarray]]:
+        """Segments by bucket that other documents may share windows of, those with a hot key as single windows."""
+        known, hot = self.shared(_known(replies, SHARED)), self.shared(_known(replies, CUT))
+        if not hot:
+            return self, known
+        whole = np.concatenate(list(hot.values()))
+        many = self.last[whole] - self.first[whole] + 1
+        at = np.repeat(self.first[whole], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        # Equal windows of a batch travel once; each keeps a hash of its own content as its key.
+        hashes = np.zeros(len(at), np.uint64)
+        for i in range(length):
+            hashes *= _MULTIPLIER
+            hashes += self.data[at + i]
+        hashes = _mixed(hashes)
+        bucket, key = (hashes % np.uint64(buckets)).astype(np.int64), (hashes // np.uint64(buckets)).astype(np.uint32)
+        number = len(self.doc) + np.argsort(bucket, kind="stable")
+        batch = Batch(self.ids, self.data, self.bounds, *(np.concatenate(x) for x in ((self.doc, np.repeat(self.doc[whole], many)), (self.first, at), (self.last, at), (self.bucket, bucket), (self.key, key))))
+        for part in np.split(number, np.flatnonzero(np.diff(batch.bucket[number])) + 1):
+            b = int(batch.bucket[part[0]])
+            known[b] = np.concatenate((known[b], part)) if b in known else part
+        return batch, known
+
     def strings(self, part: np.ndarray, length: int) -> np.ndarray:
         """The segments' bytes plus one, as an 'S' array."""
         width = 2 * length - GRAM
-        sizes = self.last[part] - self.first[part] + length
-        at = self.first[part][:, None] + np.arange(width)
-        inside = np.arange(width) < sizes[:, None]
-        symbols = np.where(inside, self.data[np.minimum(at, len(self.data) - 1)] + np.uint8(1), np.uint8(0))
-        return np.ascontiguousarray(symbols).view(f"S{width}").ravel()
+        symbols = np.zeros((len(part), width), np.uint8)
+        for a in range(0, len(part), ROWS):
+            some = part[a : a + ROWS]
+            at = self.first[some][:, None] + np.arange(width)
+            inside = np.arange(width) < (self.last[some] - self.first[some] + length)[:, None]
+            symbols[a : a + ROWS] = np.where(inside, self.data[np.minimum(at, len(self.data) - 1)] + np.uint8(1), np.uint8(0))
+        return symbols.view(f"S{width}").ravel()
 
 
 # --- exchanges: a message is (batch, bucket, kind, payload) ----------------------------------------------------
 
 MESSAGE = "batch long, bucket long, kind int, payload binary"
 _SCHEMA = pa.schema([("batch", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
-SHARED, MINIMA = 1, 2
+SHARED, MINIMA, CUT = 1, 2, 3
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -282,7 +339,7 @@ def _unpack(payload: bytes, *dtypes: str) -> list[np.ndarray]:
     sizes = np.frombuffer(payload, np.int64, len(dtypes), 8)
     at, out = 8 * (len(dtypes) + 1), []
     for dtype, size in zip(dtypes, sizes.tolist()):
-        out.append(np.frombuffer(payload[at : at + size], dtype))
+        out.append(np.frombuffer(payload, dtype, size // np.dtype(dtype).itemsize, at) if size else np.array([], dtype))
         at += size
     return out
 
@@ -292,7 +349,7 @@ def _messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
 
 
 def _announce(buckets: int, length: int) -> Callable[[pa.Table], pa.Table]:
-    """A batch's anchors: by bucket the different keys, and which of them several of its documents have."""
+    """A batch's anchors: by bucket the different keys, each with a byte: its highest bit says that several documents have it, the others how many segments do (``_counted``)."""
 
     def run(table: pa.Table) -> pa.Table:
         batch, number = Batch.of(table, buckets, length), table.column("batch")[0].as_py()
@@ -302,42 +359,59 @@ def _announce(buckets: int, length: int) -> Callable[[pa.Table], pa.Table]:
         new[1:] = (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])
         begins = np.flatnonzero(new)
         several = np.minimum.reduceat(ids, begins) != np.maximum.reduceat(ids, begins) if len(begins) else np.array([], bool)
+        many = np.diff([*begins, len(order)])
+        often = np.flatnonzero(np.repeat(many >= OFTEN, many))
+        if len(often):
+            # A segment's bytes say its key.
+            _, index = np.unique(batch.strings(order[often], length), return_index=True)
+            different = np.bincount(np.repeat(np.arange(len(many)), many)[often[index]], minlength=len(many))
+            many = np.where(different, different, many)
+        marks = (np.minimum(np.ceil(8 * np.log2(many)), 127).astype(np.uint8) | several.astype(np.uint8) << 7) if len(begins) else np.array([], np.uint8)
         edges = np.flatnonzero(np.diff(bucket[begins], prepend=-1))
         return _messages([
-            (number, int(bucket[begins[a]]), 0, _pack(key[begins[a:b]], several[a:b])) for a, b in zip(edges, [*edges[1:], len(begins)])
+            (number, int(bucket[begins[a]]), 0, _pack(key[begins[a:b]], marks[a:b])) for a, b in zip(edges, [*edges[1:], len(begins)])
         ])
 
     return run
 
 
-def _find_shared(table: pa.Table) -> pa.Table:
-    """A bucket's keys that several documents have, to every batch that announced them."""
-    got = [(b, *_unpack(p, "u4", "?")) for b, p in zip(table.column("batch").to_pylist(), table.column("payload").to_pylist())]
-    keys = np.concatenate([k for _, k, _ in got])
-    order = np.argsort(keys, kind="stable")
-    ranked, several = keys[order], np.concatenate([s for _, _, s in got])[order]
-    begins = np.flatnonzero(np.diff(ranked.astype(np.int64), prepend=-1))
-    many = (np.diff([*begins, len(ranked)]) > 1) | np.logical_or.reduceat(several, begins)
-    shared = ranked[begins[many]]
-    bucket = table.column("bucket")[0].as_py()
-    replies = ((b, k[np.isin(k, shared, assume_unique=True)]) for b, k, _ in got)
-    return _messages([(b, bucket, SHARED, _pack(k)) for b, k in replies if len(k)])
+def _counted(marks: np.ndarray) -> np.ndarray:
+    """How many segments the marks of ``_announce`` stand for: powers of two in steps of an eighth, rounded up."""
+    return np.exp2((marks & np.uint8(127)) / 8)
+
 
+def _find_shared(hot: int) -> Callable[[pa.Table], pa.Table]:
+    """A bucket's keys that several documents have, to every batch that announced them; those with more than ``hot`` segments are to be cut up."""
+
+    def find_shared(table: pa.Table) -> pa.Table:
+        got = [(b, *_unpack(p, "u4", "u1")) for b, p in zip(table.column("batch").to_pylist(), table.column("payload").to_pylist())]
+        keys = np.concatenate([k for _, k, _ in got])
+        order = np.argsort(keys, kind="stable")
+        ranked, marks = keys[order], np.concatenate([m for _, _, m in got])[order]
+        begins = np.flatnonzero(np.diff(ranked.astype(np.int64), prepend=-1))
+        several = (np.diff([*begins, len(ranked)]) > 1) | np.logical_or.reduceat(marks >= 128, begins)
+        cut = np.add.reduceat(_counted(marks), begins) > hot
+        bucket, rows = table.column("bucket")[0].as_py(), []
+        for kind, wanted in ((SHARED, ranked[begins[several & ~cut]]), (CUT, ranked[begins[several & cut]])):
+            replies = ((b, k[np.isin(k, wanted, assume_unique=True)]) for b, k, _ in got if len(wanted))
+            rows += [(b, bucket, kind, _pack(k)) for b, k in replies if len(k)]
+        return _messages(rows)
+
+    return find_shared
 
-def _known(table: pa.Table) -> dict[int, np.ndarray]:
-    return {
-        b: _unpack(p, "u4")[0] for b, k, p in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "payload"))) if k == SHARED
-    }
+
+def _known(table: pa.Table, kind: int) -> dict[int, np.ndarray]:
+    return {b: _unpack(p, "u4")[0] for b, k, p in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "payload"))) if k == kind}
 
 
 def _send_segments(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """A batch's different segments with a shared anchor: strings, their keys, least ids, and whether several documents have them."""
+    """A batch's different segments, or single windows of them, with a shared anchor: strings, their keys, least ids, and whether several documents have them."""
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows or not replies.num_rows:
             return _messages([])
-        batch, rows = Batch.of(docs, buckets, length), []
-        for bucket, part in batch.shared(_known(replies)).items():
+        (batch, parts), rows = Batch.of(docs, buckets, length).travelling(replies, buckets, length), []
+        for bucket, part in parts.items():
             strings, index, inverse = np.unique(batch.strings(part, length), return_index=True, return_inverse=True)
             ids = batch.ids[batch.doc[part]]
             least, most = np.full(len(strings), NO_ID), np.full(len(strings), np.iinfo(np.int64).min)
@@ -351,10 +425,40 @@ def _send_segments(buckets: int, length: int) -> Callable[[pa.Table, pa.Table],
     return run
 
 
+def _runs(strings: np.ndarray, value: np.ndarray, keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(string, begin, end, least): runs of windows of the sorted distinct strings whose least value is the same, ordered by string.
+
+    A string that is the only one with its key has none; it is its own repeated interval, and its value holds throughout. The others go through the
+    transforms, keys whole and about ``CHUNK`` strings at a time.
+    """
+    order = np.argsort(keys, kind="stable")
+    begins = np.flatnonzero(np.diff(keys[order].astype(np.int64), prepend=-1))
+    members = np.diff([*begins, len(order)])
+    mixed, members = order[np.repeat(members > 1, members)], members[members > 1]
+    ends, runs, done = np.cumsum(members), [], 0
+    while done < len(mixed):
+        until = int(ends[max(np.searchsorted(ends, done + CHUNK, side="right") - 1, np.searchsorted(ends, done, side="right"))])
+        some = np.sort(mixed[done:until])
+        done = until
+        low = _window_minima(strings[some], value[some], length)
+        counts = _window_counts(strings[some], length)
+        offset, owner = np.cumsum(counts) - counts, np.repeat(np.arange(len(some)), counts)
+        new = np.diff(low, prepend=-1) != 0
+        new[offset] = True
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(low))
+        runs.append((some[owner[begin]], begin - offset[owner[begin]], end - offset[owner[begin]], low[begin]))
+    if not runs:
+        return (np.array([], np.int64),) * 4
+    joined = [np.concatenate(r) for r in zip(*runs)]
+    by_string = np.argsort(joined[0], kind="stable")
+    return tuple(r[by_string] for r in joined)
+
+
 def _find_minima(length: int) -> Callable[[pa.Table], pa.Table]:
     """A bucket's answer: for runs of windows of each sent segment, the least id of a document that has the window."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def find_minima(table: pa.Table) -> pa.Table:
         width = 2 * length - GRAM
         sent = [_unpack(p, "<u4", "u1", "u4", "i8", "?") for p in table.column("payload").to_pylist()]
         sizes, text, key, least, several = (np.concatenate([s[i] for s in sent]) for i in range(5))
@@ -363,33 +467,29 @@ def _find_minima(length: int) -> Callable[[pa.Table], pa.Table]:
         strings, index, inverse = np.unique(symbols.view(f"S{width}").ravel(), return_index=True, return_inverse=True)
         value = np.full(len(strings), NO_ID)
         np.minimum.at(value, inverse, least)
-        keys = key[index]
-        # A segment that is the only one with its anchor is its own repeated interval; the others go through the transforms.
-        _, group, members = np.unique(keys, return_inverse=True, return_counts=True)
-        mixed = np.flatnonzero(members[group] > 1)
-        minima = dict(zip(mixed.tolist(), window_minima(strings[mixed], value[mixed], length))) if len(mixed) else {}
         windows = np.char.str_len(strings) - length + 1
+        run_of, begin, end, low = _runs(strings, value, key[index], length)
+        starts = np.searchsorted(run_of, np.arange(len(strings) + 1))
         bucket, rows, at = table.column("bucket")[0].as_py(), [], 0
-        single = np.ones(len(strings), bool)
-        single[mixed] = False
         for number, part in zip(table.column("batch").to_pylist(), sent):
             n = len(part[0])
             mine, own, many = inverse[at : at + n], part[3], part[4]
             at += n
-            plain = np.flatnonzero(single[mine] & (many | (value[mine] < own)))
-            runs = [(plain, np.zeros(len(plain), np.int64), windows[mine[plain]], value[mine[plain]])]
-            for i in np.flatnonzero(~single[mine]):
-                low = minima[int(mine[i])]
-                begins = np.flatnonzero(np.diff(low, prepend=-1))
-                ends = np.append(begins[1:], len(low))
-                useful = many[i] | (low[begins] < own[i])
-                runs.append((np.full(int(useful.sum()), i), begins[useful], ends[useful], low[begins[useful]]))
-            joined = [np.concatenate([r[k] for r in runs]) for k in range(4)]
+            runs = starts[mine + 1] - starts[mine]
+            string = np.repeat(np.arange(n), runs)
+            run = np.arange(len(string)) - np.repeat(np.cumsum(runs) - runs, runs) + np.repeat(starts[mine], runs)
+            useful = many[string] | (low[run] < own[string])
+            string, run = string[useful], run[useful]
+            plain = np.flatnonzero((runs == 0) & (many | (value[mine] < own)))
+            joined = [
+                np.concatenate(x)
+                for x in ((plain, string), (np.zeros(len(plain), np.int64), begin[run]), (windows[mine[plain]], end[run]), (value[mine[plain]], low[run]))
+            ]
             if len(joined[0]):
                 rows.append((number, bucket, MINIMA, _pack(joined[0].astype("<u4"), joined[1].astype("<u4"), joined[2].astype("<u4"), joined[3].astype("<i8"))))
         return _messages(rows)
 
-    return run
+    return find_minima
 
 
 KEPT = "doc_id long, kept binary, removed array<struct<start: long, end: long>>"
@@ -403,12 +503,13 @@ def _cut(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if not docs.num_rows:
             return _KEPT.empty_table()
         batch = Batch.of(docs, buckets, length)
-        depth = np.zeros(len(batch.data) + 1, np.int64)
+        depth = np.zeros(len(batch.data) + 1, np.int32)
         if replies.num_rows:
             answers = {
                 b: _unpack(p, "<u4", "<u4", "<u4", "<i8") for b, k, p in zip(*(replies.column(c).to_pylist() for c in ("bucket", "kind", "payload"))) if k == MINIMA
             }
-            for bucket, part in batch.shared(_known(replies)).items():
+            batch, parts = batch.travelling(replies, buckets, length)
+            for bucket, part in parts.items():
                 if bucket not in answers:
                     continue
                 string, begin, end, least = answers[bucket]
@@ -422,7 +523,7 @@ def _cut(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 base, run_of = batch.first[part[member[later]]], run_of[later]
                 np.add.at(depth, base + begin[run_of], 1)
                 np.add.at(depth, base + end[run_of] - 1 + length, -1)
-        gone = np.cumsum(depth[:-1]) > 0
+        gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
         out = []
         for i, (a, b) in enumerate(zip(batch.bounds, batch.bounds[1:])):
             mask = gone[a:b]
@@ -454,7 +555,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     dealt = rows.select(F.pmod(F.xxhash64("doc_id", "body"), F.lit(4 * buckets)).alias("batch"), "doc_id", "body")
 
     announced = dealt.groupBy("batch").applyInArrow(_announce(buckets, length), MESSAGE)
-    shared = staged(announced.groupBy("bucket").applyInArrow(_find_shared, MESSAGE), "repeats-shared")
+    shared = staged(announced.groupBy("bucket").applyInArrow(_find_shared(HOT), MESSAGE), "repeats-shared")
     sent = dealt.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(_send_segments(buckets, length), MESSAGE)
     minima = staged(sent.groupBy("bucket").applyInArrow(_find_minima(length), MESSAGE), "repeats-minima")
     answers = shared.unionByName(minima)
