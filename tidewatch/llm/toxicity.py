@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import shuffle_partitions, staged, training_row
+from tidewatch.llm.common import give_back, shuffle_partitions, staged, training_row
 
 #: The examples are about this many labelled rows of either label (all, if there are fewer), chosen by a hash of the id.
 SAMPLE_PER_LABEL = 4000
@@ -345,6 +345,6 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             yield batch.filter(pa.array(stays, pa.bool_()))
         # The worker stays for later tasks and stages: what this one held goes back.
         cache.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
